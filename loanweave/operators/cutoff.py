@@ -16,8 +16,9 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-EXACT = "decimal(28,8)"
-SUM = "decimal(38,8)"
+# 18 digits are stored as one machine word; six of them are decimals.
+AMOUNT = "decimal(18,6)"
+SUM = "decimal(38,6)"
 SLICES = 4096
 
 
@@ -52,7 +53,7 @@ def first_over(rows: DataFrame, column: str, low: int, high: int, budget: Decima
         .groupBy((F.shiftright(F.col(column), bits) - F.lit(low >> bits)).alias("slice"))
         .agg(
             F.sum("weight").alias("weight"),
-            F.sum("value").alias("value"),
+            F.max("value").alias("value"),
             F.min(column).alias("low"),
             F.max(column).alias("high"),
             F.min("id").alias("first_id"),

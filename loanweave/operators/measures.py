@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed_values import TARGET
 from ..sources.tables import steps_table
-
-EXACT = "decimal(28,8)"
+from .cutoff import AMOUNT
 
 
 def baseline_measures(
@@ -56,7 +55,7 @@ SUMMED = {
 
 def _exact(df: DataFrame, name: str) -> Column:
     """Doubles are added as decimals, so a sum does not depend on the order of rows."""
-    return F.col(name).cast(EXACT) if df.schema[name].dataType.typeName() in ("double", "float") else F.col(name)
+    return F.col(name).cast(AMOUNT) if df.schema[name].dataType.typeName() in ("double", "float") else F.col(name)
 
 
 def _portfolio_sums(df: DataFrame, group_cols: list[str]) -> DataFrame:

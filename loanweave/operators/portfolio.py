@@ -19,21 +19,23 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from decimal import ROUND_FLOOR, Decimal, localcontext
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import BUDGET_FRACTION
 from ..session import stage
-from .cutoff import EXACT, SUM, Cut, find_cut
+from .cutoff import AMOUNT, SUM, Cut, find_cut
 
 SHARE = "decimal(9,6)"
+TOTAL = "decimal(28,6)"
 DENSITY_SCALE = 1e6
 LARGEST_RANK = 4e18
 FILL_ROWS = 10_000
 
 
 def _exact(name: str) -> Column:
-    return F.col(name).cast(EXACT)
+    """Money up to a million millions, to the millionth; sums of it are exact."""
+    return F.col(name).cast(AMOUNT)
 
 
 def _rank(value: str, weight: str) -> Column:
@@ -118,23 +120,25 @@ def plan_portfolio(
         _exact(weight).alias("weight"),
         _rank(value, weight).alias("rank"),
     )
-    narrow = stage(narrow, "ranking")
     wanted = (F.col("value") > 0) & (F.col("weight") > 0)
-    totals = narrow.agg(
-        F.coalesce(F.sum("weight"), F.lit(0)).alias("weight"),
-        F.coalesce(F.sum(F.when(wanted, F.col("weight"))), F.lit(0)).alias("wanted"),
+    # The totals are collected while the ranking is written, without a pass of their own.
+    totals = Observation()
+    observed = narrow.observe(
+        totals,
+        F.sum("weight").alias("weight"),
+        F.sum(F.when(wanted, F.col("weight"))).alias("wanted"),
         F.min(F.when(wanted, F.col("rank"))).alias("low"),
         F.max(F.when(wanted, F.col("rank"))).alias("high"),
-    ).first()
+    )
+    rows = stage(observed.filter(wanted), "ranking")
     with localcontext() as exact:
         exact.prec = 60
-        budget = totals["weight"] * Decimal(str(budget_fraction))
-        # Weights have eight decimals, so what lies below the eighth cannot be spent.
-        budget = budget.quantize(Decimal("1e-8"), rounding=ROUND_FLOOR)
-        if totals["wanted"] <= budget:
-            return Selection(value, weight, id, budget, totals["wanted"])
-        rows = narrow.filter(wanted)
-        blocked, left = find_cut(rows, totals["low"], totals["high"], budget)
+        total, demand = (totals.get[name] or Decimal(0) for name in ("weight", "wanted"))
+        # Weights have six decimals, so what lies below the sixth cannot be spent.
+        budget = (total * Decimal(str(budget_fraction))).quantize(Decimal("1e-6"), rounding=ROUND_FLOOR)
+        if demand <= budget:
+            return Selection(value, weight, id, budget, demand)
+        blocked, left = find_cut(rows, totals.get["low"], totals.get["high"], budget)
         filled: list[int] = []
         if fill:
             filled, left = _fill(rows, blocked, left)
@@ -187,7 +191,7 @@ def select_optim_inputs(df: DataFrame, id: str = "id") -> DataFrame:
 def risk_budget(df: DataFrame, fraction: str | float = BUDGET_FRACTION, weight: str = "exposure_at_risk") -> DataFrame:
     """Allowed weight: a share of the weight of all loans."""
     share = F.lit(str(fraction)).cast(SHARE)
-    return df.agg((F.sum(_exact(weight)).cast(EXACT) * share).cast("double").alias("risk_budget"))
+    return df.agg((F.sum(_exact(weight)).cast(TOTAL) * share).cast("double").alias("risk_budget"))
 
 
 def check_budget(
@@ -197,7 +201,7 @@ def check_budget(
     share = F.lit(str(fraction)).cast(SHARE)
     amount = _exact(weight)
     used = F.coalesce(F.sum(F.when(F.col("optim_choice") == 1, amount)), F.lit(0))
-    allowed = F.sum(amount).cast(EXACT) * share
+    allowed = F.sum(amount).cast(TOTAL) * share
     return df.agg(
         used.cast("double").alias("used"),
         allowed.cast("double").alias("allowed"),
@@ -214,7 +218,7 @@ def portfolio_bound(df: DataFrame, selection: Selection) -> DataFrame:
     """
     blocked = selection.blocked
     price = float(blocked.value) / float(blocked.weight) if blocked else 0.0
-    value, weight = F.col(selection.value).cast(EXACT), F.col(selection.weight).cast(EXACT)
+    value, weight = _exact(selection.value), _exact(selection.weight)
     surplus = F.greatest(value.cast("double") - F.lit(price) * weight.cast("double"), F.lit(0.0))
     reached = F.coalesce(F.sum(F.when(selection.chosen(), value)), F.lit(0)).cast("double")
     return df.agg(
@@ -226,15 +230,15 @@ def portfolio_bound(df: DataFrame, selection: Selection) -> DataFrame:
 def portfolio_totals(df: DataFrame) -> DataFrame:
     """Value, exposure and amount of the selected loans."""
     return filter_selected(df).agg(
-        F.sum(F.col("expected_value").cast(EXACT)).cast("double").alias("total_expected_value"),
-        F.sum(F.col("exposure_at_risk").cast(EXACT)).cast("double").alias("total_risk"),
+        F.sum(_exact("expected_value")).cast("double").alias("total_expected_value"),
+        F.sum(_exact("exposure_at_risk")).cast("double").alias("total_risk"),
         F.sum("credit_amount").alias("total_amount"),
     )
 
 
 def _mean(name: str, where: Column | None = None) -> Column:
     """Mean of an exactly summed column."""
-    value = F.col(name).cast(EXACT)
+    value = _exact(name)
     if where is not None:
         value = F.when(where, value)
     return F.try_divide(F.sum(value).cast("double"), F.count(value))

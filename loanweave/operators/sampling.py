@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import SEED
-from .cutoff import EXACT, find_cut
+from .cutoff import AMOUNT, find_cut
 from .identity import HASH_RANGE, hash_number
 from .profiling import class_balance
 
@@ -34,8 +34,8 @@ def oversample_minority(df: DataFrame, label: str = "label", id: str = "id", see
             rows = df.filter(here).select(
                 F.col(id).alias("id"),
                 hash_number(id, seed).alias("rank"),
-                F.lit(1).cast(EXACT).alias("weight"),
-                F.lit(0).cast(EXACT).alias("value"),
+                F.lit(1).cast(AMOUNT).alias("weight"),
+                F.lit(0).cast(AMOUNT).alias("value"),
             )
             cut, _ = find_cut(rows, 0, HASH_RANGE - 1, Decimal(missing))
             extra = F.when(cut.before(hash_number(id, seed), F.col(id)), 1).otherwise(0)
