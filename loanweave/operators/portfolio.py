@@ -19,7 +19,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from decimal import ROUND_FLOOR, Decimal, localcontext
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import BUDGET_FRACTION
@@ -120,25 +120,23 @@ def plan_portfolio(
         _exact(weight).alias("weight"),
         _rank(value, weight).alias("rank"),
     )
+    narrow = stage(narrow, "ranking")
     wanted = (F.col("value") > 0) & (F.col("weight") > 0)
-    # The totals are collected while the ranking is written, without a pass of their own.
-    totals = Observation()
-    observed = narrow.observe(
-        totals,
+    totals = narrow.agg(
         F.sum("weight").alias("weight"),
         F.sum(F.when(wanted, F.col("weight"))).alias("wanted"),
         F.min(F.when(wanted, F.col("rank"))).alias("low"),
         F.max(F.when(wanted, F.col("rank"))).alias("high"),
-    )
-    rows = stage(observed.filter(wanted), "ranking")
+    ).first()
     with localcontext() as exact:
         exact.prec = 60
-        total, demand = (totals.get[name] or Decimal(0) for name in ("weight", "wanted"))
+        total, demand = (totals[name] or Decimal(0) for name in ("weight", "wanted"))
         # Weights have six decimals, so what lies below the sixth cannot be spent.
         budget = (total * Decimal(str(budget_fraction))).quantize(Decimal("1e-6"), rounding=ROUND_FLOOR)
         if demand <= budget:
             return Selection(value, weight, id, budget, demand)
-        blocked, left = find_cut(rows, totals.get["low"], totals.get["high"], budget)
+        rows = narrow.filter(wanted)
+        blocked, left = find_cut(rows, totals["low"], totals["high"], budget)
         filled: list[int] = []
         if fill:
             filled, left = _fill(rows, blocked, left)
