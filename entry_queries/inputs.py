@@ -29,9 +29,10 @@ def risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return risk_columns(binned(spark, sf_dir))
 
 
-def selected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loans with risk columns and ``optim_choice``."""
-    return select_portfolio(risk(spark, sf_dir))
+def selected(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Loans with ``optim_choice`` and the columns that are asked for."""
+    needed = dict.fromkeys(["id", "expected_value", "exposure_at_risk", *columns])
+    return select_portfolio(risk(spark, sf_dir).select(*needed))
 
 
 def optimised(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from loanweave.functions.decisions import prob_positive
@@ -14,14 +14,14 @@ from loanweave.operators.cleaning import cast_label, drop_raw_numerics
 from loanweave.operators.identity import train_test_split
 from loanweave.operators.sampling import oversample_minority, scale_features
 from loanweave.operators.scoring import score_applications
-from loanweave.plans.training import train_and_predict
+from loanweave.plans.training import train_and_predict, training_rows
 from loanweave.session import scratch_path
 from loanweave.sources.models import load_model, save_model
 from loanweave.sources.order_loans import join_orders
 from loanweave.streaming.applications import read_applications, score_applications_stream
 
 from . import inputs
-from .registry import query, with_bins, with_loans
+from .registry import query, with_bins, with_loans, with_predictions
 
 FEATURES = [*CATEGORICAL, *[f"{c}_cat" for c in RAW_NUMERIC]]
 FEW = ["credit_history", "purpose", "age_cat"]
@@ -125,8 +125,7 @@ def q_feature_names(spark, sf_dir):
 @query("train_pd_model")
 def q_train_pd_model(spark, sf_dir):
     """Coefficients of the model on all features, with the intercept as its own row."""
-    loans = cast_label(training_table(spark, sf_dir))
-    train, _ = train_test_split(loans)
+    train, _ = train_test_split(training_rows(training_table(spark, sf_dir), FEATURES, spread=True))
     model = M.train_pd_model(train, FEATURES)
     rows = list(zip(M.feature_names(model, train), model.stages[-1].coefficients.toArray().tolist()))
     rows.append(("(intercept)", float(model.stages[-1].intercept)))
@@ -135,33 +134,34 @@ def q_train_pd_model(spark, sf_dir):
 
 @query("predict")
 def q_predict(spark, sf_dir):
-    return train_and_predict(training_table(spark, sf_dir))[1]
+    return train_and_predict(training_table(spark, sf_dir), spread=True)[1]
 
 
-@query("prob_positive")
+@query("prob_positive", with_predictions("SELECT id, p1 FROM predictions"))
 def q_prob_positive(spark, sf_dir):
-    loans = cast_label(inputs.binned(spark, sf_dir)).select("id", "label", *FEW)
-    scored = M.train_pd_model(loans, FEW, max_iter=10).transform(loans)
-    return scored.select("id", prob_positive().alias("p1"), "prediction")
+    """Scores packed into a probability vector, as models return them, and taken out again."""
+    scored = inputs.predictions(spark, sf_dir)
+    packed = scored.select("id", array_to_vector(F.array(1 - F.col("p1"), F.col("p1"))).alias("probability"))
+    return packed.select("id", prob_positive().alias("p1"))
 
 
 @query("coefficient_table")
 def q_coefficient_table(spark, sf_dir):
-    loans = cast_label(inputs.binned(spark, sf_dir)).select("label", *FEATURES)
+    loans = training_rows(training_table(spark, sf_dir), FEATURES, spread=True)
     return M.coefficient_table(M.train_pd_model(loans, FEATURES), loans)
 
 
 @query("top_features")
 def q_top_features(spark, sf_dir):
     """The 20 features with the largest coefficients."""
-    loans = cast_label(inputs.binned(spark, sf_dir)).select("label", *FEATURES)
+    loans = training_rows(training_table(spark, sf_dir), FEATURES, spread=True)
     return M.top_k(M.coefficient_table(M.train_pd_model(loans, FEATURES), loans), "abs_importance", 20, "feature")
 
 
 @query("evaluate_model")
 def q_evaluate_model(spark, sf_dir):
     """AUC and KS of the trained model on its test part."""
-    _, predictions = train_and_predict(training_table(spark, sf_dir))
+    _, predictions = train_and_predict(training_table(spark, sf_dir), spread=True)
     metrics = E.auc(predictions).unpivot([], ["auc"], "metric", "value")
     return metrics.unionByName(E.ks_statistic(predictions).unpivot([], ["ks"], "metric", "value"))
 
@@ -185,7 +185,7 @@ def q_save_load_model(spark, sf_dir):
 
 @query("train_tree_models")
 def q_train_tree_models(spark, sf_dir):
-    train, test = train_test_split(cast_label(training_table(spark, sf_dir)))
+    train, test = train_test_split(training_rows(training_table(spark, sf_dir), FEATURES, spread=True))
     return M.train_tree_models(train, test, FEATURES, trees=5, depth=4)[1]
 
 
@@ -268,7 +268,7 @@ def q_score_applications_stream(spark, sf_dir):
 def q_score_with_model(spark, sf_dir):
     """Applications scored by the trained pipeline instead of a scorecard."""
     loans = inputs.binned(spark, sf_dir)
-    model = M.train_pd_model(cast_label(loans).select("label", *FEATURES), FEATURES, max_iter=10)
+    model = M.train_pd_model(training_rows(loans, FEATURES, spread=True), FEATURES, max_iter=10)
     return score_applications(loans.withColumnRenamed("amount", "credit_amount"), model, keep=["id"])
 
 

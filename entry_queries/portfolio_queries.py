@@ -95,7 +95,7 @@ def q_risk_budget(spark, sf_dir):
 )
 def q_attach_optim_choice(spark, sf_dir):
     """Flags exist for loans above 2000 only; the others get 0 from the join."""
-    flags = inputs.selected(spark, sf_dir).filter("amount > 2000").select("id", "optim_choice")
+    flags = inputs.selected(spark, sf_dir, "amount").filter("amount > 2000").select("id", "optim_choice")
     return P.attach_optim_choice(inputs.loans(spark, sf_dir), flags).select("id", "amount", "optim_choice")
 
 
@@ -119,7 +119,7 @@ def q_removed_anti(spark, sf_dir):
     ),
 )
 def q_portfolio_totals(spark, sf_dir):
-    return P.portfolio_totals(inputs.selected(spark, sf_dir))
+    return P.portfolio_totals(inputs.selected(spark, sf_dir, "credit_amount"))
 
 
 @query(
@@ -130,7 +130,7 @@ def q_portfolio_totals(spark, sf_dir):
     ),
 )
 def q_portfolio_means(spark, sf_dir):
-    means = P.portfolio_means(inputs.selected(spark, sf_dir))
+    means = P.portfolio_means(inputs.selected(spark, sf_dir, "PD", "LGD"))
     return means.select(*inputs.doubles(means, "pd_mean", "lgd_mean", "ev_mean", digits=6))
 
 
@@ -145,7 +145,7 @@ def q_portfolio_means(spark, sf_dir):
     ),
 )
 def q_portfolio_comparison(spark, sf_dir):
-    comparison = P.portfolio_comparison(inputs.selected(spark, sf_dir))
+    comparison = P.portfolio_comparison(inputs.selected(spark, sf_dir, "PD", "LGD"))
     return comparison.select("metric", *inputs.doubles(comparison, "value", digits=6))
 
 
@@ -166,7 +166,7 @@ DESCRIBED = ["credit_amount", "expected_profit", "expected_loss", "expected_valu
     ),
 )
 def q_describe_selected(spark, sf_dir):
-    described = describe_selected(P.filter_selected(inputs.selected(spark, sf_dir)), DESCRIBED)
+    described = describe_selected(P.filter_selected(inputs.selected(spark, sf_dir, *DESCRIBED)), DESCRIBED)
     return described.select(
         "variable", "count", *inputs.doubles(described, "mean", "std", "p25", "p50", "p75", digits=6), "min", "max"
     )

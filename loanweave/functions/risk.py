@@ -1,7 +1,8 @@
 """Rates and money columns of a loan.
 
-Rule-based rates are DECIMAL and money is DECIMAL(20,4): amount x PD x LGD has exactly
-four decimals, so sums are exact and do not depend on the order of rows. A PD that comes
+Rule-based rates are DECIMAL and money is DECIMAL(18,4): amount x PD x LGD has exactly
+four decimals, so sums are exact and do not depend on the order of rows, and 18 digits
+are stored as one machine word. A PD that comes
 from a model is DOUBLE and keeps its precision; the money derived from it is DOUBLE too.
 """
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from . import fixed_values as V
 
 RATE = "decimal(4,2)"
-MONEY = "decimal(20,4)"
+MONEY = "decimal(18,4)"
 
 
 def _rate(text: str) -> Column:

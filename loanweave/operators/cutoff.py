@@ -33,10 +33,13 @@ class Cut:
 
     def before(self, rank: Column, key: Column) -> Column:
         """True for rows the budget covers."""
-        return (rank < self.rank) | ((rank == self.rank) & (key < self.id))
+        return F.struct(rank, key) < self._place()
 
     def behind(self, rank: Column, key: Column) -> Column:
-        return (rank > self.rank) | ((rank == self.rank) & (key > self.id))
+        return F.struct(rank, key) > self._place()
+
+    def _place(self) -> Column:
+        return F.struct(F.lit(self.rank).cast("bigint"), F.lit(self.id).cast("bigint"))
 
 
 def first_over(rows: DataFrame, column: str, low: int, high: int, budget: Decimal):

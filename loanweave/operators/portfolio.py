@@ -63,13 +63,15 @@ class Selection:
 
     def chosen(self) -> Column:
         """True for a chosen loan."""
-        earns = _exact(self.value) > 0
+        earns, weight = _exact(self.value) > 0, _exact(self.weight)
         if self.blocked is None:
-            return F.coalesce(earns, F.lit(False))
-        key = F.col(self.id)
-        takes = (_exact(self.weight) == 0) | self.blocked.before(_rank(self.value, self.weight), key)
-        if self.filled:
-            takes = takes | key.isin(list(self.filled))
+            takes = weight >= 0
+        else:
+            key = F.col(self.id).cast("bigint")
+            before = self.blocked.before(_rank(self.value, self.weight), key)
+            if self.filled:
+                before = before | key.isin(list(self.filled))
+            takes = (weight == 0) | ((weight > 0) & before)
         return F.coalesce(earns & takes, F.lit(False))
 
 
@@ -108,11 +110,13 @@ def plan_portfolio(
     budget_fraction: str | float = BUDGET_FRACTION,
     id: str = "id",
     fill: bool = True,
+    stored: bool = False,
 ) -> Selection:
     """Find the selection rule. ``budget_fraction`` is the share of all weights that may be used.
 
-    The id must be a unique BIGINT. Runs a handful of aggregations over three narrow
-    columns, which are written once so that the source plan is not run again for each.
+    The id must be a unique BIGINT. Runs a handful of aggregations over three columns.
+    They are written once, so that the source plan is not run again for each, unless
+    ``stored`` says that ``df`` reads a table that already has them.
     """
     narrow = df.select(
         F.col(id).cast("bigint").alias("id"),
@@ -120,7 +124,8 @@ def plan_portfolio(
         _exact(weight).alias("weight"),
         _rank(value, weight).alias("rank"),
     )
-    narrow = stage(narrow, "ranking")
+    if not stored:
+        narrow = stage(narrow, "ranking")
     wanted = (F.col("value") > 0) & (F.col("weight") > 0)
     totals = narrow.agg(
         F.sum("weight").alias("weight"),
@@ -151,9 +156,14 @@ def select_portfolio(
     id: str = "id",
     fill: bool = True,
 ) -> DataFrame:
-    """Add ``optim_choice`` 1/0 to every loan."""
-    selection = plan_portfolio(df, value, weight, budget_fraction, id, fill)
-    return df.withColumn("optim_choice", optim_choice(selection.chosen()))
+    """Add ``optim_choice`` 1/0 to every loan.
+
+    The table is written once before the selection. Otherwise the optimizer would move
+    filters on the flag below the columns it depends on and repeat their rules inside.
+    """
+    table = stage(df, "portfolio")
+    selection = plan_portfolio(table, value, weight, budget_fraction, id, fill, stored=True)
+    return table.withColumn("optim_choice", optim_choice(selection.chosen()))
 
 
 def optim_choice(chosen: Column) -> Column:

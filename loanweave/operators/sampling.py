@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import SEED
+from ..session import stage
 from .cutoff import AMOUNT, find_cut
 from .identity import HASH_RANGE, hash_number
 from .profiling import class_balance
@@ -37,7 +38,7 @@ def oversample_minority(df: DataFrame, label: str = "label", id: str = "id", see
                 F.lit(1).cast(AMOUNT).alias("weight"),
                 F.lit(0).cast(AMOUNT).alias("value"),
             )
-            cut, _ = find_cut(rows, 0, HASH_RANGE - 1, Decimal(missing))
+            cut, _ = find_cut(stage(rows, "draw"), 0, HASH_RANGE - 1, Decimal(missing))
             extra = F.when(cut.before(hash_number(id, seed), F.col(id)), 1).otherwise(0)
         copies = F.when(here, F.lit(whole) + extra).otherwise(copies)
     return df.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))

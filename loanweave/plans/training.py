@@ -13,8 +13,22 @@ from ..operators.model import predict, train_pd_model
 from ..session import stage
 
 
+def training_rows(loans: DataFrame, features: list[str], id: str = "id", spread: bool = False) -> DataFrame:
+    """Id, label and features, written once: fitting reads them several times.
+
+    ``spread`` shuffles the rows first. It pays when the source has few or uneven files,
+    because every iteration waits for the largest partition.
+    """
+    labelled = cast_label(loans).select(id, "label", *features)
+    return stage(labelled.repartition(id) if spread else labelled, "training")
+
+
 def train_and_predict(
-    loans: DataFrame, features: list[str] | None = None, id: str = "id", max_iter: int = MAX_ITERATIONS
+    loans: DataFrame,
+    features: list[str] | None = None,
+    id: str = "id",
+    max_iter: int = MAX_ITERATIONS,
+    spread: bool = False,
 ) -> tuple[PipelineModel, DataFrame]:
     """Fit on 70 % of the rows; return the model and stored predictions for the others.
 
@@ -22,7 +36,7 @@ def train_and_predict(
     instead of scoring again.
     """
     features = features or string_columns(loans, exclude=(TARGET,))
-    labelled = cast_label(loans).select(id, "label", *features)
+    labelled = training_rows(loans, features, id, spread)
     train, test = train_test_split(labelled, id)
     model = train_pd_model(train, features, max_iter=max_iter)
     return model, stage(predict(model, test, [id, "label"]), "predictions")

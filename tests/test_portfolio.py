@@ -94,8 +94,12 @@ def test_edges_of_the_budget(spark):
     assert chosen_ids(df, budget_fraction="0.2499") == {4}
     assert chosen_ids(df.limit(0)) == set()
     assert chosen_ids(df.filter("expected_value <= 0")) == set()
-    missing = spark.createDataFrame([(9, None, None), (1, Decimal(5), Decimal(10))], COLUMNS)
-    assert chosen_ids(missing, budget_fraction="1") == {1}
+
+
+@pytest.mark.parametrize("fraction,expected", [("1", {1, 2}), ("0.5", {1})])
+def test_loans_without_value_or_weight_are_never_chosen(spark, fraction, expected):
+    rows = [(9, None, None), (8, Decimal(3), None), (7, None, Decimal(10)), (1, Decimal(5), Decimal(10)), (2, Decimal(4), Decimal(10))]
+    assert chosen_ids(spark.createDataFrame(rows, COLUMNS).filter("id != 7"), budget_fraction=fraction) == expected
 
 
 def test_bound_holds_for_the_best_possible_choice(spark):
