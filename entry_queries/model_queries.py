@@ -134,7 +134,9 @@ def q_train_pd_model(spark, sf_dir):
 
 @query("predict")
 def q_predict(spark, sf_dir):
-    return train_and_predict(training_table(spark, sf_dir), spread=True)[1]
+    """Test rows through the whole fitted pipeline."""
+    train, test = train_test_split(training_rows(training_table(spark, sf_dir), FEATURES, spread=True))
+    return M.predict(M.train_pd_model(train, FEATURES), test, ["id", "label"])
 
 
 @query("prob_positive", with_predictions("SELECT id, p1 FROM predictions"))

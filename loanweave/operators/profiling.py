@@ -86,9 +86,9 @@ def duplicate_audit(df: DataFrame) -> DataFrame:
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
     """Exact quantiles with linear interpolation: (variable, probability, quantile).
 
-    Equal values are counted first, then ranks come from running totals over
-    (variable, value). The ``percentile`` function would keep all distinct values of a
-    column in one task's memory.
+    Equal values are counted first, then ranks come from running totals per column. The
+    ``percentile`` function would keep all distinct values of a column in one task's
+    memory.
     """
     values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     counted = (
@@ -97,60 +97,48 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
         .groupBy("variable", "value")
         .agg(F.count("*").alias("n"))
     )
-    ranked = running_totals(counted, [F.col("variable"), F.col("value")], ["n"])
-    # One row per column: its row count and the rank where it starts.
-    sizes = ranked.groupBy("variable").agg(
-        F.sum("n").alias("size"), F.min(F.col("cum_n") - F.col("n")).alias("start")
-    )
-    wanted = sizes.select(
-        "variable",
-        "start",
-        F.explode(F.array(*[F.lit(p) for p in probabilities])).alias("probability"),
-        "size",
-    ).withColumn("place", F.col("probability") * (F.col("size") - 1))
-    wanted = wanted.select(
-        "variable",
-        "probability",
-        "place",
-        (F.col("start") + F.floor("place")).alias("low"),
-        (F.col("start") + F.ceil("place")).alias("high"),
-    )
-    # A value covers the ranks [cum_n - n, cum_n); only the values at a wanted rank stay.
-    covers = ranked.join(F.broadcast(wanted), "variable")
+    ranked = running_totals(counted, [F.col("value")], ["n"], group_by=["variable"])
+    place = F.col("probability") * (F.col("total_n") - 1)
+    wanted = ranked.withColumn("probability", F.explode(F.array(*[F.lit(p) for p in probabilities])))
+    wanted = wanted.withColumn("place", place)
+    # A value covers the ranks [cum_n - n, cum_n); the two values around a place make the quantile.
     first, after = F.col("cum_n") - F.col("n"), F.col("cum_n")
-    has_low = (F.col("low") >= first) & (F.col("low") < after)
-    has_high = (F.col("high") >= first) & (F.col("high") < after)
+    low, high = F.floor("place"), F.ceil("place")
+    is_low, is_high = (first <= low) & (low < after), (first <= high) & (high < after)
     ends = (
-        covers.filter(has_low | has_high)
+        wanted.filter(is_low | is_high)
         .groupBy("variable", "probability", "place")
-        .agg(F.max(F.when(has_low, F.col("value"))).alias("lower"), F.max(F.when(has_high, F.col("value"))).alias("upper"))
+        .agg(F.max(F.when(is_low, F.col("value"))).alias("lower"), F.max(F.when(is_high, F.col("value"))).alias("upper"))
     )
     part = F.col("place") - F.floor("place")
-    return ends.select(
-        "variable", "probability", (F.col("lower") + part * (F.col("upper") - F.col("lower"))).alias("quantile")
-    )
+    quantile = F.col("lower") + part * (F.col("upper") - F.col("lower"))
+    return ends.select("variable", "probability", quantile.alias("quantile"))
 
 
 def describe_selected(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, std, min, quartiles and max of number columns, one row per column."""
     values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    basics = (
-        long_values(values, columns)
-        .groupBy("variable")
-        .agg(
-            F.count("value").alias("count"),
-            F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("std"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-        )
-    )
+    basics = values.agg(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(c).alias("variable"),
+                    F.count(c).alias("count"),
+                    F.avg(c).alias("mean"),
+                    F.stddev_samp(c).alias("std"),
+                    F.min(c).alias("min"),
+                    F.max(c).alias("max"),
+                )
+                for c in columns
+            ]
+        ).alias("basics")
+    ).select(F.inline("basics"))
     at = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
     quartiles = (
         exact_quantiles(values, columns, list(at.values()))
         .groupBy("variable")
         .agg(*[F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(name) for name, p in at.items()])
     )
-    return basics.join(quartiles, "variable", "left").select(
-        "variable", "count", "mean", "std", "min", *at, "max"
-    )
+    # One row per described column on either side.
+    described = basics.join(F.broadcast(quartiles), "variable", "left")
+    return described.select("variable", "count", "mean", "std", "min", *at, "max")

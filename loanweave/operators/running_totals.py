@@ -16,42 +16,50 @@ RANGE = "_range"
 
 
 def running_totals(
-    df: DataFrame, order_by: list[Column], totals: list[str], ranges: int | None = None
+    df: DataFrame,
+    order_by: list[Column],
+    totals: list[str],
+    group_by: list[str] | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add ``cum_<name>`` and ``total_<name>`` for every column of ``totals``.
 
     ``cum_<name>`` is the sum up to and including the row in ``order_by`` order,
-    ``total_<name>`` the sum over all rows.
+    ``total_<name>`` the sum over all rows. With ``group_by`` both start anew in every
+    group; groups must be few (a handful of column names, not customers), because one
+    offset per group and range is broadcast.
 
-    ``order_by`` must tell all rows apart; group equal keys first. Then no key is large,
-    and the sampled range edges give even ranges whatever the distribution of the key.
-    The number of ranges is the session's shuffle partition count, which also bounds the
-    one unpartitioned window below and the offsets that are broadcast.
+    ``order_by`` must tell all rows of a group apart; group equal keys first. Then no key
+    is large, and the sampled range edges give even ranges whatever the distribution of
+    the key. The number of ranges is the session's shuffle partition count, which also
+    bounds the window over the range sums and the offsets that are broadcast.
     """
-    spark = df.sparkSession
-    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = group_by or []
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The range number is stored with the rows, so no later pass can see other ranges.
-    ranged = df.repartitionByRange(ranges, *order_by).withColumn(RANGE, F.spark_partition_id())
-    ranged = stage(ranged, "ranges")
+    ordered = df.repartitionByRange(ranges, *groups, *order_by)
+    ranged = stage(ordered.withColumn(RANGE, F.spark_partition_id()), "ranges")
 
-    before = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    whole = Window.partitionBy(*groups).orderBy(RANGE)
+    before = whole.rowsBetween(Window.unboundedPreceding, -1)
+    everything = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = (
-        ranged.groupBy(RANGE)
+        ranged.groupBy(RANGE, *groups)
         .agg(*[F.sum(name).alias(name) for name in totals])
         .select(
             RANGE,
+            *groups,
             *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(f"_before_{name}") for name in totals],
             *[F.sum(name).over(everything).alias(f"total_{name}") for name in totals],
         )
     )
 
-    inside = Window.partitionBy(RANGE).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
-    cumulated = {
-        f"cum_{name}": F.sum(name).over(inside) + F.col(f"_before_{name}") for name in totals
-    }
+    inside = (
+        Window.partitionBy(RANGE, *groups).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    cumulated = {f"cum_{name}": F.sum(name).over(inside) + F.col(f"_before_{name}") for name in totals}
     return (
-        ranged.join(F.broadcast(offsets), RANGE)
+        ranged.join(F.broadcast(offsets), [RANGE, *groups])
         .withColumns(cumulated)
         .drop(RANGE, *[f"_before_{name}" for name in totals])
     )
