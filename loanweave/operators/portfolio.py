@@ -4,9 +4,9 @@ Every loan has a value (what it is expected to earn) and a weight (the risk it u
 The choice maximises the value while the weights stay within the budget: a 0/1 knapsack.
 
 Loans are ranked by value per unit of weight and taken in that order; a loan that no
-longer fits is skipped and the next ones are tried. The result is within one loan's
-value of the best possible choice, and ``portfolio_bound`` states the actual gap. It is
-not a proof of optimality as a mixed-integer solver would give.
+longer fits is skipped and the next ones are tried. What is lost against the best
+possible choice is about one loan's value at most, and ``portfolio_bound`` states an
+upper bound for it. It is not a proof of optimality as a mixed-integer solver would give.
 
 No window runs over all loans and no loan table reaches the driver. The place where the
 budget runs out is found by summing the weights of a few thousand slices of the ranking
@@ -16,7 +16,7 @@ position in the ranking, that every task applies to its own rows without a join.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from decimal import ROUND_FLOOR, Decimal, localcontext
 
 from pyspark.sql import Column, DataFrame
@@ -49,6 +49,19 @@ def _rank(value: str, weight: str) -> Column:
     return -scaled.cast("bigint")
 
 
+@dataclass(frozen=True)
+class Stretch:
+    """All loans of a part of the ranking, up to a largest weight."""
+
+    after: Cut
+    until: Cut | None
+    largest: Decimal
+
+    def covers(self, rank: Column, key: Column, weight: Column) -> Column:
+        inside = self.after.behind(rank, key) & (weight <= F.lit(self.largest).cast(SUM))
+        return inside if self.until is None else inside & self.until.before(rank, key)
+
+
 @dataclass(frozen=True)
 class Selection:
     """Which loans are chosen, as a rule that can be applied to any table with these columns."""
@@ -59,7 +72,8 @@ class Selection:
     budget: Decimal
     used: Decimal
     blocked: Cut | None = None
-    filled: tuple[int, ...] = field(default=())
+    filled: tuple[int, ...] = ()
+    stretches: tuple[Stretch, ...] = ()
 
     def chosen(self) -> Column:
         """True for a chosen loan."""
@@ -68,39 +82,45 @@ class Selection:
             takes = weight >= 0
         else:
             key = F.col(self.id).cast("bigint")
-            before = self.blocked.before(_rank(self.value, self.weight), key)
+            rank = _rank(self.value, self.weight)
+            fits = self.blocked.before(rank, key)
+            for stretch in self.stretches:
+                fits = fits | stretch.covers(rank, key, weight)
             if self.filled:
-                before = before | key.isin(list(self.filled))
-            takes = (weight == 0) | ((weight > 0) & before)
+                fits = fits | key.isin(list(self.filled))
+            takes = (weight == 0) | ((weight > 0) & fits)
         return F.coalesce(earns & takes, F.lit(False))
 
 
-def _fill(rows: DataFrame, blocked: Cut, left: Decimal) -> tuple[list[int], Decimal]:
+def _fill(rows: DataFrame, blocked: Cut, last_rank: int, left: Decimal):
     """Go on behind the blocked loan and take what still fits, in ranking order.
 
-    The rest of the budget is smaller than one loan, so few loans are taken. Candidates
-    come in fixed-size portions; each portion starts behind the last one and asks only
-    for loans that fit, until there are none. No candidate is left out.
+    Returns the ids taken one by one, the stretches taken as a whole, and what is left.
+    The next ``FILL_ROWS`` loans that could fit are looked at one by one; usually they use
+    up nearly all that is left. If every one of them fits, the loans are small against
+    the rest of the budget, and the next loan that does not fit is searched for as in the
+    first place. Both go on until no loan fits; none is left out.
     """
     taken: list[int] = []
-    place = blocked
-    while left > 0:
-        fitting = F.col("weight") <= F.lit(left).cast(SUM)
-        portion = (
-            rows.filter(place.behind(F.col("rank"), F.col("id")) & fitting)
-            .orderBy("rank", "id")
-            .limit(FILL_ROWS)
-            .collect()
-        )
+    stretches: list[Stretch] = []
+    place: Cut | None = blocked
+    while place is not None and left > 0:
+        could_fit = F.col("weight") <= F.lit(left).cast(SUM)
+        candidates = rows.filter(place.behind(F.col("rank"), F.col("id")) & could_fit)
+        portion = candidates.orderBy("rank", "id").limit(FILL_ROWS).collect()
+        if len(portion) == FILL_ROWS and sum(row["weight"] for row in portion) <= left:
+            until, rest = find_cut(candidates, place.rank, last_rank, left)
+            if until is None:
+                rest = left - candidates.agg(F.sum("weight")).first()[0]
+            stretches.append(Stretch(place, until, left))
+            place, left = until, rest
+            continue
         for row in portion:
             if row["weight"] <= left:
                 taken.append(row["id"])
                 left -= row["weight"]
-        if len(portion) < FILL_ROWS:
-            break
-        last = portion[-1]
-        place = Cut(last["rank"], last["id"], last["value"], last["weight"])
-    return taken, left
+        place = Cut(**portion[-1].asDict()) if len(portion) == FILL_ROWS else None
+    return taken, stretches, left
 
 
 def plan_portfolio(
@@ -142,10 +162,10 @@ def plan_portfolio(
             return Selection(value, weight, id, budget, demand)
         rows = narrow.filter(wanted)
         blocked, left = find_cut(rows, totals["low"], totals["high"], budget)
-        filled: list[int] = []
+        filled, stretches = [], []
         if fill:
-            filled, left = _fill(rows, blocked, left)
-        return Selection(value, weight, id, budget, budget - left, blocked, tuple(filled))
+            filled, stretches, left = _fill(rows, blocked, totals["high"], left)
+        return Selection(value, weight, id, budget, budget - left, blocked, tuple(filled), tuple(stretches))
 
 
 def select_portfolio(

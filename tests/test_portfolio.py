@@ -67,6 +67,19 @@ def test_small_slices_and_portions_change_nothing(spark, monkeypatch, slices, po
     assert chosen_ids(portfolio(spark, rows)) == greedy(rows, "0.30")
 
 
+def test_small_loans_behind_a_large_one_are_taken_as_stretches(spark, monkeypatch):
+    monkeypatch.setattr(P, "FILL_ROWS", 5)
+    rng = random.Random(2)
+    rows = [(0, "90000", "10000")] + [(i, str(rng.randrange(1, 9)), str(rng.randrange(1, 9))) for i in range(1, 900)]
+    rows += [(i, str(rng.randrange(100, 900)), "1000") for i in range(900, 903)]
+    df = portfolio(spark, rows)
+    plan = P.plan_portfolio(df)
+    assert plan.stretches and len(plan.filled) <= 20
+    chosen = {r.id for r in df.filter(plan.chosen()).collect()}
+    assert chosen == greedy(rows, "0.30")
+    assert plan.used == sum(Decimal(w) for i, _, w in rows if i in chosen)
+
+
 @pytest.mark.parametrize("parts", [1, 4, 16])
 def test_selection_does_not_depend_on_partitioning(spark, parts):
     rows = random_rows(5, densities=[1.0])
