@@ -25,13 +25,22 @@ def fill_unknown(df: DataFrame, text: str = UNKNOWN) -> DataFrame:
 
 
 def normalise_target(df: DataFrame, target: str = TARGET) -> DataFrame:
-    """Store the target as INT 0/1, whether it came as a number, a boolean or text."""
-    return df.withColumn(target, F.col(target).cast("boolean").cast("int"))
+    """Store the target as INT 0/1, whether it came as a number, a boolean or text.
+
+    A number other than 0 and 1 is refused: under another coding every rate would be wrong.
+    """
+    value, kind = F.col(target), dict(df.dtypes)[target]
+    if kind in ("boolean", "string"):
+        number = value.cast("boolean").cast("int")
+    else:
+        refused = F.raise_error(F.concat(F.lit(f"{target} must be 0 or 1, not "), value.cast("string")))
+        number = F.when(value.isNull() | value.isin(0, 1), value.cast("int")).otherwise(refused.cast("int"))
+    return df.withColumn(target, number)
 
 
 def clean_loans(df: DataFrame, target: str = TARGET) -> DataFrame:
     """Raw loans to bronze: trimmed, without missing texts, target 0/1."""
-    return normalise_target(fill_unknown(trim_strings(df)), target)
+    return fill_unknown(trim_strings(normalise_target(df, target)))
 
 
 def select_reporting(df: DataFrame, target: str = TARGET) -> DataFrame:

@@ -57,9 +57,11 @@ def running_totals(
     inside = (
         Window.partitionBy(RANGE, *groups).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    # One range per task; hashing the range numbers would put several into some tasks.
+    spread = ranged.repartitionByRange(ranges, RANGE)
     cumulated = {f"cum_{name}": F.sum(name).over(inside) + F.col(f"_before_{name}") for name in totals}
     return (
-        ranged.join(F.broadcast(offsets), [RANGE, *groups])
+        spread.join(F.broadcast(offsets), [RANGE, *groups])
         .withColumns(cumulated)
         .drop(RANGE, *[f"_before_{name}" for name in totals])
     )

@@ -36,7 +36,7 @@ def _kinds(table) -> dict[str, str]:
 
 def differences(spark_result: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
     """What differs in columns, types, row count or values; empty when all agree."""
-    left, right = spark_result.toArrow(), connection.execute(sql).to_arrow_table()
+    left, right = spark_result.toArrow(), connection.sql(sql).to_arrow_table()
     found = []
     if _kinds(left) != _kinds(right):
         pairs = set(_kinds(left).items()) ^ set(_kinds(right).items())

@@ -121,3 +121,14 @@ def test_cleaning(spark):
 def test_target_becomes_a_number(spark, kind, values):
     out = normalise_target(column(spark, values, kind, "credit_risk"))
     assert out.dtypes == [("credit_risk", "int")] and [r[0] for r in out.collect()] == [1, 0]
+
+
+def test_other_target_codings_are_refused(spark):
+    assert normalise_target(column(spark, [1, None], "bigint", "credit_risk")).collect()[1][0] is None
+    with pytest.raises(Exception, match="must be 0 or 1, not 2"):
+        normalise_target(column(spark, [1, 2], "bigint", "credit_risk")).collect()
+
+
+def test_missing_text_target_stays_missing(spark):
+    rows = clean_loans(column(spark, [" 1", None], "string", "credit_risk")).collect()
+    assert [r[0] for r in rows] == [1, None]
