@@ -36,8 +36,12 @@ def selected(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def optimised(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with the texts of the gold table."""
-    return optimise_portfolio(binned(spark, sf_dir))
+    """Loans with risk columns, ``optim_choice`` and the texts of the gold table.
+
+    The table is stored on the way, so the columns no measure needs are left out before.
+    """
+    needed = ["id", "amount", "credit_history", "purpose", "age_cat", "credit_risk"]
+    return optimise_portfolio(binned(spark, sf_dir).select(*needed))
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

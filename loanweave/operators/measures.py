@@ -213,6 +213,8 @@ def waterfall_expected_loss(df: DataFrame) -> DataFrame:
         optimized.alias("Optimized"),
     )
     amounts = amounts.unpivot([], amounts.columns, "Step", "expected_loss")
-    # Four fixed rows on either side.
+    # Four fixed rows on either side. The sums are one row in one partition, so ordering
+    # within it orders the result.
     steps = F.broadcast(steps_table(df.sparkSession))
-    return amounts.join(steps, "Step").select("Step", "Order", "expected_loss").orderBy("Order")
+    joined = amounts.join(steps, "Step").select("Step", "Order", "expected_loss")
+    return joined.sortWithinPartitions("Order")
