@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash_groups
+from . import bin_slack, pii_bootstrap, ppm_language, simhash_groups, wu_manber
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -16,11 +16,89 @@ def query(function):
     return function
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file on each machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op3_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_bootstrap.find_personal_data(table(spark, sf_dir, "documents"), ["doc_id"])
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [pii_bootstrap.count_of(base, kind).alias(f"n_{kind}") for kind in pii_bootstrap.KINDS]
+    return found.select(
+        "doc.doc_id",
+        *counts,
+        F.sha2(pii_bootstrap.written(base), 256).alias("base_sha256"),
+        pii_bootstrap.written(F.col("spans")).alias("spans"),
+    )
+
+
+@query
+def op4_min_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bin_slack.packed_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query
+def op5_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wu_manber.benchmark_passages(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"]
+    ).withColumn("n_hit", wu_manber.covered())
+    return found.select(
+        "doc.doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        wu_manber.contaminated().alias("contaminated"),
+    )
+
+
+ORACLES["op5_wu_manber_decontamination"] = r"""
+WITH item_words AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
+sized AS (SELECT item_id, w, least(len(w), 13) AS l FROM item_words WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, l, array_to_string(w[i : i + l - 1], ' ') AS p
+  FROM sized, LATERAL (SELECT unnest(range(1, len(w) - l + 2)) AS i)),
+doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+places AS (SELECT doc_id, w, l, unnest(range(1, len(w) - l + 2)) AS i
+  FROM doc_words, (SELECT DISTINCT l FROM windows) WHERE len(w) >= l),
+found AS (SELECT doc_id, i, x.l AS l, item_id
+  FROM (SELECT doc_id, i, l, array_to_string(w[i : i + l - 1], ' ') AS p FROM places) x JOIN windows USING (l, p)),
+hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + l)) AS k FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
 @query
 def op6_simhash_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_groups.near_duplicates(table(spark, sf_dir, "documents"), ["doc_id"])
     return found.select("doc.doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op8_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = ppm_language.predict(docs, ["doc_id"], ppm_language.learn(docs))
+    return found.select(
+        "doc.doc_id",
+        F.coalesce(ppm_language.remainder("doc.doc_id", 4) == 2, F.lit(False)).alias("held_out"),
+        "lang_pred",
+        "score",
+        "bits_per_byte",
+    )
