@@ -6,8 +6,8 @@ shorter one is asked, down to equal shares of all 256 bytes. Counts are frozen a
 so the cost of a byte depends on its ``ORDER`` + 1 bytes only, and a text's code length under a
 language is a sum over its bytes. No exclusion of bytes that longer contexts have ruled out.
 
-Learning reads at most ``SAMPLE`` labelled documents per language, whole, picked by a hash of their
-id, for at most ``LANGUAGES`` labels (the most frequent); both are parameters. The model is bounded by the bytes
+Learning reads about ``SAMPLE`` labelled documents per language, whole, picked by a hash of id and text with
+the chance ``SAMPLE`` / number of labelled documents, for at most ``LANGUAGES`` labels (the most frequent); both are parameters. The model is bounded by the bytes
 of that sample and is the only thing that is broadcast. Every document is predicted, by whole text.
 """
 
@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import GramCosts, chunks, grams, map_texts
@@ -109,19 +109,10 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     labelled = docs.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.coalesce(remainder("doc_id", 4), F.lit(0)) != 2)
     )
-    draw = F.xxhash64("doc_id").alias("draw")
-    frequent = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
-    order = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
-    bounds = (
-        labelled.select("lang", draw)
-        .withColumn("place", order)
-        .where(F.col("place") <= sample)
-        .groupBy("lang")
-        .agg(F.max("draw").alias("bound"))
-        .join(F.broadcast(frequent), "lang")
-    )
-    # One row per language: at most LANGUAGES.
-    chosen = labelled.select("lang", "text", draw).join(F.broadcast(bounds), "lang").where("draw <= bound")
+    frequent = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("of")).orderBy(F.desc("of"), "lang").limit(LANGUAGES)
+    # A hash of id and text, spread evenly over 0 to 2^63; one row per language is broadcast.
+    draw = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 1)
+    chosen = labelled.join(F.broadcast(frequent), "lang").where(draw <= F.lit(float(sample)) / F.col("of") * F.lit(2.0**63))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
