@@ -18,6 +18,7 @@ ARROW_TYPES = {
     "string": pa.string(),
     "binary": pa.binary(),
     "array<int>": pa.list_(pa.int32()),
+    "array<binary>": pa.list_(pa.binary()),
     "array<string>": pa.list_(pa.string()),
 }
 

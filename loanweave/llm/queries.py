@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bin_slack, pii_bootstrap, ppm_language, simhash_groups, wu_manber
+from . import (
+    bfd_shards,
+    bin_slack,
+    ctw_scores,
+    pii_bootstrap,
+    ppm_language,
+    simhash_groups,
+    simhash_tables,
+    wu_manber,
+)
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +36,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_bfd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bfd_shards.shard(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query
 def op3_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii_bootstrap.find_personal_data(table(spark, sf_dir, "documents"), ["doc_id"])
@@ -91,6 +114,21 @@ def op6_simhash_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc.doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query
+def op7_simhash_block_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_tables.documents_with_links(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        simhash_tables.written(F.col("code")).alias("fingerprint"),
+        simhash_tables.written(F.col("edited_code")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+        "n_links",
+    )
+
+
 @query
 def op8_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -102,3 +140,11 @@ def op8_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         "bits_per_byte",
     )
+
+
+@query
+def op9_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(ppm_language.remainder("doc_id", 7) == 2, F.lit(False))
+    found = ctw_scores.scores(docs, ~held_out)
+    return found.withColumn("held_out", held_out)
