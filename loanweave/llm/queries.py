@@ -13,6 +13,7 @@ from . import (
     ppm_language,
     simhash_groups,
     simhash_tables,
+    warc_derivatives,
     wu_manber,
 )
 
@@ -36,6 +37,67 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The table of pages has no time of capture.
+CAPTURED = "1970-01-01T00:00:00Z"
+
+
+@query
+def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    responses = warc_derivatives.responses(table(spark, sf_dir, "pages"), CAPTURED)
+    return warc_derivatives.derivatives(responses, ["page_id"])
+
+
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _sql_id(*parts: str) -> str:
+    name = f"md5(concat_ws(chr(10), {', '.join(parts)}))"
+    cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
+    return "'<urn:uuid:' || " + " || '-' || ".join(f"substr({name}, {a}, {n})" for a, n in cuts) + " || '>'"
+
+
+def _sql_plain(html: str) -> str:
+    text = f"regexp_replace({html}, {_sql_text(warc_derivatives.HIDDEN)}, ' ', 'g')"
+    text = f"regexp_replace({text}, {_sql_text(warc_derivatives.BREAKS)}, chr(10), 'g')"
+    text = f"regexp_replace({text}, {_sql_text(warc_derivatives.TAGS)}, '', 'g')"
+    for entity, character in warc_derivatives.ENTITIES:
+        text = f"replace({text}, {_sql_text(entity)}, {_sql_text(character)})"
+    return _sql_joined(text)
+
+
+def _sql_joined(text: str) -> str:
+    text = f"regexp_replace({text}, '[ \\t\\r\\f\\x0B]+', ' ', 'g')"
+    text = f"regexp_replace({text}, ' ?\\n[ \\n]*', chr(10), 'g')"
+    return f"regexp_replace({text}, '^[ \\n]+|[ \\n]+\\z', '', 'g')"
+
+
+ORACLES["op1_warc_derivatives"] = f"""
+WITH nl AS (SELECT chr(13) || chr(10) AS nl),
+source AS (SELECT page_id, coalesce(url, '') AS target_uri, coalesce(html, '') AS payload FROM pages),
+parsed AS (SELECT source.*, nl, {_sql_id("'response'", "coalesce(CAST(page_id AS VARCHAR), '')", "target_uri", "payload")} AS refers_to,
+  concat_ws(nl, 'HTTP/1.1 200 OK', 'Content-Type: text/html; charset=utf-8', 'Content-Length: ' || strlen(payload)) AS source_headers,
+  'sha256:' || sha256(payload) AS source_payload_digest, {_sql_plain("payload")} AS body,
+  {_sql_joined(f"replace(regexp_extract(payload, {_sql_text(warc_derivatives.TITLE)}, 1), chr(10), ' ')")} AS title,
+  regexp_extract_all(payload, {_sql_text(warc_derivatives.LINK)}, 1) AS links FROM source, nl),
+fielded AS (SELECT *, array_to_string(list_concat(
+    list_transform(string_split(source_headers, nl), lambda h: 'source-header: ' || h),
+    ['source-payload-digest: ' || source_payload_digest, 'source-payload-length: ' || strlen(payload), 'title: ' || title],
+    list_transform(links, lambda l: 'outlink: ' || l || ' L a/@href')), chr(13) || chr(10)) || nl AS fields FROM parsed),
+made AS (SELECT *, {_sql_id("'metadata'", "refers_to", "fields")} AS metadata_id,
+  {_sql_id("'conversion'", "refers_to", "body")} AS conversion_id FROM fielded),
+records AS (
+  SELECT *, 'metadata' AS record_type, metadata_id AS record_id, conversion_id AS concurrent_to,
+    'application/warc-fields' AS content_type, fields AS block FROM made
+  UNION ALL
+  SELECT *, 'conversion', conversion_id, metadata_id, 'text/plain; charset=utf-8', body FROM made)
+SELECT page_id, record_type, record_id, concurrent_to, content_type, CAST(strlen(block) AS BIGINT) AS content_length,
+  'sha256:' || sha256(block) AS block_digest, block, refers_to, target_uri, '{CAPTURED}' AS date, source_headers,
+  source_payload_digest
+FROM records
+"""
+
+
 @query
 def op2_bfd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bfd_shards.shard(table(spark, sf_dir, "documents"))
