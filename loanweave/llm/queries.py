@@ -9,6 +9,7 @@ from . import (
     bfd_shards,
     bin_slack,
     ctw_scores,
+    passage_chains,
     pii_bootstrap,
     ppm_language,
     simhash_groups,
@@ -210,3 +211,8 @@ def op9_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(ppm_language.remainder("doc_id", 7) == 2, F.lit(False))
     found = ctw_scores.scores(docs, ~held_out)
     return found.withColumn("held_out", held_out)
+
+
+@query
+def op10_collinear_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_chains.shared_passages(table(spark, sf_dir, "documents"))
