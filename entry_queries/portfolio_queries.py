@@ -56,18 +56,19 @@ def q_filter_selected(spark, sf_dir):
 @query(
     "portfolio_bound",
     with_selection(
-        """SELECT round(CAST((SELECT sum(expected_value) FROM opt WHERE optim_choice = 1) AS DOUBLE), 2) AS selected_value,
-        round(sum(greatest(CAST(expected_value AS DOUBLE) - price * CAST(exposure_at_risk AS DOUBLE), 0.0))
-          + max(allowed) * max(price), 2) AS upper_bound
+        """SELECT round(selected, 2) AS selected_value, round(bound, 2) AS upper_bound, round((bound - selected) / bound, 9) AS gap FROM (
+        SELECT CAST((SELECT sum(expected_value) FROM opt WHERE optim_choice = 1) AS DOUBLE) AS selected,
+        sum(greatest(CAST(expected_value AS DOUBLE) - price * CAST(exposure_at_risk AS DOUBLE), 0.0))
+          + max(allowed) * max(price) AS bound
         FROM risk, (SELECT CAST(allowed AS DOUBLE) AS allowed FROM budget),
         (SELECT CAST(v AS DOUBLE) / CAST(w AS DOUBLE) AS price FROM running
-         WHERE rn = (SELECT count(*) + 1 FROM prefix))"""
+         WHERE rn = (SELECT count(*) + 1 FROM prefix)))"""
     ),
 )
 def q_portfolio_bound(spark, sf_dir):
     risk = inputs.risk(spark, sf_dir)
     bound = P.portfolio_bound(risk, P.plan_portfolio(risk))
-    return bound.select(*inputs.doubles(bound, "selected_value", "upper_bound", digits=2))
+    return bound.select(*inputs.doubles(bound, "selected_value", "upper_bound", digits=2), F.round("gap", 9).alias("gap"))
 
 
 @query(
@@ -363,6 +364,10 @@ PIVOT = """SELECT coalesce(purpose, 'Total') AS purpose, CAST(sum(amount) AS BIG
     CAST(coalesce(sum(amount) FILTER (credit_risk = 1), 0) AS BIGINT) AS amount_1,
     round(coalesce(sum(amount) FILTER (credit_risk = 0), 0) / sum(amount), 9) AS share_0,
     round(coalesce(sum(amount) FILTER (credit_risk = 1), 0) / sum(amount), 9) AS share_1,
+    CAST(coalesce(sum(amount) FILTER (credit_risk IS NULL), 0) AS BIGINT) AS amount_none,
+    round(coalesce(sum(amount) FILTER (credit_risk IS NULL), 0) / sum(amount), 9) AS share_none,
+    round(coalesce(sum(amount) FILTER (credit_risk IS NULL), 0) / (SELECT sum(amount) FROM loans WHERE credit_risk IS NULL), 9)
+      AS column_share_none,
     round(coalesce(sum(amount) FILTER (credit_risk = 0), 0) / (SELECT sum(amount) FROM loans WHERE credit_risk = 0), 9)
       AS column_share_0,
     round(coalesce(sum(amount) FILTER (credit_risk = 1), 0) / (SELECT sum(amount) FROM loans WHERE credit_risk = 1), 9)

@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from loanweave.functions.fixed_values import CATEGORICAL
+from loanweave.functions.fixed_values import CATEGORICAL, RAW_NUMERIC, TARGET
 from loanweave.operators import evaluation as E
 from loanweave.operators import profiling as P
 from loanweave.operators.cleaning import cast_label
 from loanweave.operators.identity import with_split
 
 from . import inputs
-from .registry import DIRTY_EXPRESSIONS, LOAN_EXPRESSIONS, query, with_dirty, with_loans, with_predictions, with_risk
+from .registry import (
+    DIRTY_EXPRESSIONS,
+    LOAN_EXPRESSIONS,
+    query,
+    with_bins,
+    with_dirty,
+    with_loans,
+    with_predictions,
+    with_risk,
+)
 
 UNPIVOT = f"""long AS (UNPIVOT (SELECT credit_risk, {', '.join(CATEGORICAL)} FROM loans)
     ON {', '.join(CATEGORICAL)} INTO NAME variable VALUE value)"""
@@ -43,10 +53,18 @@ def q_category_distribution(spark, sf_dir):
     return P.category_distribution(inputs.loans(spark, sf_dir))
 
 
-@query("sorted_distribution", with_loans("SELECT purpose, count(*) AS count FROM loans GROUP BY purpose"))
+@query(
+    "sorted_distribution",
+    unpivoted(
+        """SELECT variable, value, count(*) AS count,
+        row_number() OVER (PARTITION BY variable ORDER BY count(*) DESC, value) AS place FROM long GROUP BY variable, value"""
+    ),
+)
 def q_sorted_distribution(spark, sf_dir):
-    ordered = P.category_distribution(inputs.loans(spark, sf_dir), ["purpose"])
-    return ordered.select(F.col("value").alias("purpose"), "count")
+    """Every value's place in its variable: the order of the rows, as a column that can be compared."""
+    ordered = P.category_distribution(inputs.loans(spark, sf_dir))
+    place = F.row_number().over(Window.partitionBy("variable").orderBy(F.col("count").desc(), "value"))
+    return ordered.select("variable", "value", "count", place.cast("bigint").alias("place"))
 
 
 @query(
@@ -81,15 +99,19 @@ def q_split_sizes(spark, sf_dir):
     return P.split_sizes(with_split(inputs.loans(spark, sf_dir)))
 
 
+TRAINING = [*CATEGORICAL, *[f"{c}_cat" for c in RAW_NUMERIC], TARGET]
+
+
 @query(
     "duplicate_audit",
-    with_loans(
-        f"""SELECT (SELECT count(*) FROM loans) AS row_count,
-        (SELECT count(*) FROM (SELECT DISTINCT {', '.join(CATEGORICAL)} FROM loans)) AS distinct_count"""
+    with_bins(
+        f"""SELECT (SELECT count(*) FROM binned) AS row_count,
+        (SELECT count(*) FROM (SELECT DISTINCT {', '.join(TRAINING)} FROM binned)) AS distinct_count"""
     ),
 )
 def q_duplicate_audit(spark, sf_dir):
-    return P.duplicate_audit(inputs.loans(spark, sf_dir).select(*CATEGORICAL))
+    """The whole training table: 19 features and the target."""
+    return P.duplicate_audit(inputs.binned(spark, sf_dir).select(*TRAINING))
 
 
 QUANTILES = ["credit_amount", "expected_value", "exposure_at_risk", "PD"]

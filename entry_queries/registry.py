@@ -78,8 +78,9 @@ RISK = """risk AS (SELECT *, expected_profit - expected_loss AS expected_value F
 # Ranking by value per risk; the longest part of it that the budget covers; then, behind the
 # first loan that does not fit, one loan after the other that still fits.
 SELECTION = """ranked AS (SELECT id, expected_value AS v, exposure_at_risk AS w,
-    CAST(round(CAST(expected_value AS DOUBLE) / CAST(exposure_at_risk AS DOUBLE) * 1e6) AS BIGINT) AS k
-    FROM risk WHERE expected_value > 0),
+    CAST(floor(log10(d)) AS BIGINT) * 10000000000000 + CAST(round(d / pow(10, floor(log10(d))) * 1e11) AS BIGINT) AS k
+    FROM (SELECT *, CASE WHEN exposure_at_risk > 0 THEN CAST(expected_value AS DOUBLE) / CAST(exposure_at_risk AS DOUBLE) END AS d
+    FROM risk) WHERE expected_value > 0),
   running AS (SELECT *, row_number() OVER (ORDER BY k DESC, id) AS rn,
     sum(w) OVER (ORDER BY k DESC, id ROWS UNBOUNDED PRECEDING) AS used FROM ranked),
   budget AS (SELECT 0.30 * sum(exposure_at_risk) AS allowed FROM risk),

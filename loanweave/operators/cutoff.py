@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 # 18 digits are stored as one machine word; six of them are decimals.
 AMOUNT = "decimal(18,6)"
 SUM = "decimal(38,6)"
+# For numbers that arrive as DOUBLE, such as a model's PD.
+FINE_AMOUNT = "decimal(30,15)"
 SLICES = 4096
 
 

@@ -7,12 +7,12 @@ uses the same word for the loans that were not selected.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import TARGET
 from ..sources.tables import steps_table
-from .cutoff import AMOUNT
+from .cutoff import FINE_AMOUNT
 
 
 def baseline_measures(
@@ -30,7 +30,8 @@ def baseline_measures(
         F.count_if(~bad).alias("nb_false"),
     )
     credits, amount = F.col("total_credits"), F.col("total_amount")
-    everything = df.select(F.count("*")).scalar() if group_cols else credits
+    # One row per group: all loans are the sum of the groups, so the table is read once.
+    everything = F.sum("total_credits").over(Window.partitionBy()) if group_cols else credits
     return grouped.withColumns(
         {
             "default_rate": F.try_divide(F.col("nb_true"), credits),
@@ -55,7 +56,7 @@ SUMMED = {
 
 def _exact(df: DataFrame, name: str) -> Column:
     """Doubles are added as decimals, so a sum does not depend on the order of rows."""
-    return F.col(name).cast(AMOUNT) if df.schema[name].dataType.typeName() in ("double", "float") else F.col(name)
+    return F.col(name).cast(FINE_AMOUNT) if df.schema[name].dataType.typeName() in ("double", "float") else F.col(name)
 
 
 def _portfolio_sums(df: DataFrame, group_cols: list[str]) -> DataFrame:
@@ -213,8 +214,6 @@ def waterfall_expected_loss(df: DataFrame) -> DataFrame:
         optimized.alias("Optimized"),
     )
     amounts = amounts.unpivot([], amounts.columns, "Step", "expected_loss")
-    # Four fixed rows on either side. The sums are one row in one partition, so ordering
-    # within it orders the result.
+    # Four fixed rows on either side.
     steps = F.broadcast(steps_table(df.sparkSession))
-    joined = amounts.join(steps, "Step").select("Step", "Order", "expected_loss")
-    return joined.sortWithinPartitions("Order")
+    return amounts.join(steps, "Step").select("Step", "Order", "expected_loss").orderBy("Order")

@@ -28,25 +28,36 @@ from .cutoff import AMOUNT, SUM, Cut, find_cut
 
 SHARE = "decimal(9,6)"
 TOTAL = "decimal(28,6)"
-DENSITY_SCALE = 1e6
-LARGEST_RANK = 4e18
+# A rank is the decimal exponent of a density and this many of its digits behind the first.
+RANK_DIGITS = 11
 FILL_ROWS = 10_000
 
 
 def _exact(name: str) -> Column:
-    """Money up to a million millions, to the millionth; sums of it are exact."""
-    return F.col(name).cast(AMOUNT)
+    """Money below a million millions, to the millionth; sums of it are exact.
+
+    A number that this cannot hold is refused: one of a million millions or more, and one that is
+    not 0 but would become 0.
+    """
+    amount = F.col(name)
+    kept = amount.try_cast(AMOUNT)
+    lost = amount.isNotNull() & (kept.isNull() | ((kept == 0) & (amount != 0)))
+    return F.when(lost, F.raise_error(F.concat(F.lit(f"{name} cannot be kept to the millionth: "), amount.cast("string")))).otherwise(
+        kept
+    )
 
 
 def _rank(value: str, weight: str) -> Column:
-    """Ascending rank: value per weight in millionths, best first.
+    """Ascending rank: value per weight, best first, for positive values and weights.
 
-    Rounding makes loans of the same rates one class, whatever the last digit of the
-    division; within a class the id decides.
+    A density counts with its leading digits whatever its size. Rounding makes loans of the same rates one class,
+    whatever the last digit of the division; within a class the id decides.
     """
-    density = F.try_divide(_exact(value).cast("double"), _exact(weight).cast("double"))
-    scaled = F.greatest(F.least(F.round(density * DENSITY_SCALE), F.lit(LARGEST_RANK)), F.lit(-LARGEST_RANK))
-    return -scaled.cast("bigint")
+    both = (_exact(value) > 0) & (_exact(weight) > 0)
+    density = F.when(both, _exact(value).cast("double") / _exact(weight).cast("double"))
+    exponent = F.floor(F.log10(density))
+    digits = F.round(density / F.pow(F.lit(10.0), exponent.cast("double")) * 10.0**RANK_DIGITS).cast("bigint")
+    return -(exponent * 10 ** (RANK_DIGITS + 2) + digits)
 
 
 @dataclass(frozen=True)

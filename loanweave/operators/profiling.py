@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import TARGET
@@ -38,7 +38,8 @@ def category_distribution(df: DataFrame, columns: list[str] | None = None) -> Da
     """
     columns = columns or string_columns(df, exclude=(TARGET,))
     counted = long_values(df, columns).groupBy("variable", "value").agg(F.count("*").alias("count"))
-    rows = df.select(F.count("*")).scalar()
+    # Every row has one value per column, so a column's counts add up to the rows; one group per column and value is left.
+    rows = F.sum("count").over(Window.partitionBy("variable"))
     shares = counted.withColumn("percentage", percent_text(F.col("count") / rows))
     return sorted_distribution(shares)
 

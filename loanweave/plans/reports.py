@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import TARGET
@@ -36,32 +36,31 @@ def cards(loans: DataFrame) -> DataFrame:
 
 
 def history_risk_share(loans: DataFrame) -> DataFrame:
-    """Loans by history and target, with the share within the history."""
-    counted = loans.groupBy("credit_history").agg(
-        F.count("*").alias("_all"), F.count_if(F.col(TARGET) == 0).alias("0"), F.count_if(F.col(TARGET) == 1).alias("1")
-    )
-    long = counted.unpivot(["credit_history", "_all"], ["0", "1"], TARGET, "total_credits")
-    return long.filter(F.col("total_credits") > 0).select(
-        "credit_history",
-        F.col(TARGET).cast("int").alias(TARGET),
-        "total_credits",
-        (F.col("total_credits") / F.col("_all")).alias("share"),
+    """Loans by history and target, with the share within the history; loans without a target are a row of their own."""
+    counted = loans.groupBy("credit_history", F.col(TARGET).cast("int").alias(TARGET)).agg(
+        F.count("*").alias("total_credits")
     )
+    history = F.sum("total_credits").over(Window.partitionBy("credit_history"))
+    return counted.withColumn("share", F.col("total_credits") / history)
 
 
 def purpose_risk_pivot(loans: DataFrame) -> DataFrame:
     """Amount by purpose (rows) and target (columns), with a total row.
 
     ``share_*`` is the part of the purpose's own amount, ``column_share_*`` the part of
-    all amounts with that target.
+    all amounts with that target; ``*_none`` are loans without a target, so that shares add up to 1.
     """
-    sides = {label: F.sum(F.when(F.col(TARGET) == label, F.col("amount")).otherwise(0)) for label in (0, 1)}
+    target = {"0": F.col(TARGET) == 0, "1": F.col(TARGET) == 1, "none": F.col(TARGET).isNull()}
+    sides = {label: F.sum(F.when(here, F.col("amount")).otherwise(0)) for label, here in target.items()}
     table = loans.rollup("purpose").agg(
         F.grouping_id().alias("_total"),
         F.sum("amount").alias("amount"),
         *[total.alias(f"amount_{label}") for label, total in sides.items()],
     )
-    whole = {label: loans.select(total).scalar() for label, total in sides.items()}
+    # The total row has the sum of each column; one row per purpose is left.
+    whole = {
+        label: F.max(F.when(F.col("_total") == 1, F.col(f"amount_{label}"))).over(Window.partitionBy()) for label in sides
+    }
     return table.select(
         F.when(F.col("_total") == 1, "Total").otherwise(F.col("purpose")).alias("purpose"),
         "amount",
