@@ -246,4 +246,6 @@ def documents_with_links(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``fingerprints`` with ``n_links``: different fingerprints within ``radius`` of the row's own."""
     found = stage(fingerprints(docs), "fingerprints")
     codes = stage(found.select("code").distinct(), "distinct-fingerprints")
-    return found.join(link_counts(codes, radius), "code", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
+    # Written first, so that a code with very many rows can be split in the join.
+    counts = stage(link_counts(codes, radius), "link-counts")
+    return found.join(counts, "code", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
