@@ -373,7 +373,7 @@ def q_score_with_model(spark, sf_dir):
 @query(
     "oversample_minority",
     with_loans(
-        f"""SELECT id, credit_risk, CAST(unnest(generate_series(1, copies)) AS INTEGER) AS copy FROM (
+        f"""SELECT id, credit_risk, CAST(unnest(generate_series(1, copies)) AS BIGINT) AS copy FROM (
         SELECT id, credit_risk, largest // size + CASE WHEN place <= largest % size THEN 1 ELSE 0 END AS copies FROM (
         SELECT id, credit_risk, count(*) OVER (PARTITION BY credit_risk) AS size,
         row_number() OVER (PARTITION BY credit_risk ORDER BY {HASH}, id) AS place,

@@ -14,12 +14,13 @@ from loanweave.operators.cleaning import (
     trim_strings,
 )
 from loanweave.plans.layers import build_bronze, build_gold
+from loanweave.plans.optimisation import build_optimised
 from loanweave.session import scratch_path
 from loanweave.sources.loans_csv import LOAN_SCHEMA, read_loans_csv
 from loanweave.sources.tables import publish_gold, read_table, write_table, write_table_evolve
 
 from . import inputs
-from .registry import query, with_bins, with_dirty, with_loans
+from .registry import query, with_bins, with_dirty, with_loans, with_selection
 
 RAW = LOAN_SCHEMA.fieldNames()
 CATS = [f"{c}_cat" for c in RAW_NUMERIC]
@@ -58,20 +59,26 @@ def q_write_table(spark, sf_dir):
 
 @query(
     "write_table_evolve",
-    with_loans("SELECT id, amount, purpose, CASE WHEN amount > 5000 THEN 1 ELSE 0 END AS large FROM loans"),
+    with_loans(
+        """SELECT id, amount, CAST(NULL AS VARCHAR) AS purpose, CASE WHEN amount > 5000 THEN 1 ELSE 0 END AS large FROM loans"""
+    ),
 )
 def q_write_table_evolve(spark, sf_dir):
+    """A column the new rows lack stays as NULL, a new one is added."""
     path = scratch_path(spark, "evolve")
     loans = inputs.loans(spark, sf_dir).select("id", "amount", "purpose")
     write_table(loans, path)
-    write_table_evolve(loans.withColumn("large", F.when(F.col("amount") > 5000, 1).otherwise(0)), path)
-    return read_table(spark, path, merge_schema=True)
+    large = F.when(F.col("amount") > 5000, 1).otherwise(0)
+    write_table_evolve(loans.drop("purpose").withColumn("large", large), path)
+    return read_table(spark, path)
 
 
 @query("publish_gold", with_bins(PER_PURPOSE.format(table="binned")))
 def q_publish_gold(spark, sf_dir):
-    publish_gold(select_reporting(inputs.loans(spark, sf_dir)), scratch_path(spark, "gold"), "loanweave_gold")
-    return spark.sql(
+    """Read by name from another session of the catalog."""
+    reporting = select_reporting(inputs.loans(spark, sf_dir))
+    publish_gold(reporting, scratch_path(spark, "gold"), "loanweave_gold", catalog=True)
+    return spark.newSession().sql(
         "SELECT purpose, count(*) AS credits, sum(amount) AS amount, sum(credit_risk) AS bad "
         "FROM loanweave_gold GROUP BY purpose"
     )
@@ -86,6 +93,23 @@ def q_medallion_layers(spark, sf_dir):
     return reporting
 
 
+MONEY = ["expected_profit", "expected_loss", "expected_value", "exposure_at_risk"]
+
+
+@query(
+    "build_optimised",
+    with_selection(
+        f"""SELECT id, optim_choice, CASE WHEN optim_choice = 1 THEN 'Optimized' ELSE 'Baseline' END AS portfolio_type,
+        CASE WHEN credit_risk = 1 THEN 'Risque élevé' ELSE 'Risque faible' END AS credit_risk_niveau,
+        {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in MONEY)} FROM opt"""
+    ),
+)
+def q_build_optimised(spark, sf_dir):
+    """The gold table as it is stored."""
+    table = build_optimised(inputs.binned(spark, sf_dir), scratch_path(spark, "optimised"))
+    return table.select("id", "optim_choice", "portfolio_type", "credit_risk_niveau", *MONEY)
+
+
 @query("trim_strings", with_dirty("SELECT id, trim(purpose) AS purpose, trim(job) AS job, trim(housing) AS housing FROM dirty"))
 def q_trim_strings(spark, sf_dir):
     return trim_strings(inputs.dirty(spark, sf_dir)).select("id", "purpose", "job", "housing")

@@ -114,3 +114,16 @@ WATERFALL_STEPS = [("Baseline", 1), ("Removed Credits", 2), ("Exposure Reduction
 # Training.
 TRAIN_FRACTION, SEED = 0.7, 42
 MAX_ITERATIONS = 50
+
+# Name of the optimised table, and its columns that are stored as DOUBLE.
+OPTIMISED_TABLE = "credit_scoring_optimised"
+AS_DOUBLE = [
+    "PD_history",
+    "PD",
+    "LGD",
+    "profit_margin",
+    "expected_profit",
+    "expected_loss",
+    "expected_value",
+    "exposure_at_risk",
+]

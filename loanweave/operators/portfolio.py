@@ -25,12 +25,13 @@ from pyspark.sql import functions as F
 from ..functions.fixed_values import BUDGET_FRACTION
 from ..session import stage
 from .cutoff import AMOUNT, SUM, Cut, find_cut
+from .running_totals import running_totals
 
 SHARE = "decimal(9,6)"
 TOTAL = "decimal(28,6)"
 # A rank is the decimal exponent of a density and this many of its digits behind the first.
 RANK_DIGITS = 11
-FILL_ROWS = 10_000
+FILL_ROWS = 2_000
 
 
 def _exact(name: str) -> Column:
@@ -107,33 +108,64 @@ def _fill(rows: DataFrame, blocked: Cut, last_rank: int, left: Decimal):
     """Go on behind the blocked loan and take what still fits, in ranking order.
 
     Returns the ids taken one by one, the stretches taken as a whole, and what is left.
-    The next ``FILL_ROWS`` loans that could fit are looked at one by one; usually they use
-    up nearly all that is left. If every one of them fits, the loans are small against
-    the rest of the budget, and the next loan that does not fit is searched for as in the
-    first place. Both go on until no loan fits; none is left out.
+    The next ``FILL_ROWS`` loans that could fit are found by counting slices and looked at one by one; usually
+    they use up nearly all that is left. If they leave more than half of it, the place where half of it is gone
+    is searched for as the budget's end was. So every round halves what is left at least: the number of
+    jobs follows its logarithm, not the number of loans, and none is left out.
     """
     taken: list[int] = []
     stretches: list[Stretch] = []
     place: Cut | None = blocked
+    rank, key = F.col("rank"), F.col("id")
     while place is not None and left > 0:
-        could_fit = F.col("weight") <= F.lit(left).cast(SUM)
-        candidates = rows.filter(place.behind(F.col("rank"), F.col("id")) & could_fit)
-        portion = candidates.orderBy("rank", "id").limit(FILL_ROWS).collect()
-        if len(portion) == FILL_ROWS and sum(row["weight"] for row in portion) <= left:
-            until, rest = find_cut(candidates, place.rank, last_rank, left)
-            if until is None:
-                rest = left - candidates.agg(F.sum("weight")).first()[0]
-            stretches.append(Stretch(place, until, left))
-            place, left = until, rest
-            continue
+        start = left
+        candidates = rows.filter(place.behind(rank, key) & (F.col("weight") <= F.lit(left).cast(SUM)))
+        counted = candidates.withColumn("weight", F.lit(1).cast(AMOUNT))
+        until, _ = find_cut(counted, place.rank, last_rank, Decimal(FILL_ROWS))
+        near = candidates if until is None else candidates.filter(until.before(rank, key))
+        portion = sorted(near.select("rank", "id", "value", "weight").collect())
         for row in portion:
             if row["weight"] <= left:
                 taken.append(row["id"])
                 left -= row["weight"]
-        place = Cut(**portion[-1].asDict()) if len(portion) == FILL_ROWS else None
+        if until is None:
+            break
+        place = Cut(**portion[-1].asDict())
+        if 2 * left > start:
+            place, left = _use_half(rows, place, last_rank, left, taken, stretches)
     return taken, stretches, left
 
 
+def _use_half(rows: DataFrame, place: Cut, last_rank: int, left: Decimal, taken: list[int], stretches: list[Stretch]):
+    """Take what fits until half of ``left`` is used; returns the place reached, None for the end, and what is left.
+
+    Of the loans above half of what is left only one can be taken: the first that fits beside the
+    smaller ones before it. Otherwise the smaller ones alone are taken up to the one that passes the half.
+    """
+    rank, key, weight = F.col("rank"), F.col("id"), F.col("weight")
+    half = (left / 2).quantize(Decimal("1e-6"), rounding=ROUND_FLOOR)
+    behind = rows.filter(place.behind(rank, key))
+    small = behind.filter(weight <= F.lit(half).cast(SUM))
+    large = behind.filter((weight > F.lit(half).cast(SUM)) & (weight <= F.lit(left).cast(SUM)))
+    until, rest = find_cut(small, place.rank, last_rank, half)
+    if until is not None:
+        small, large = (part.filter(until.before(rank, key)) for part in (small, large))
+    both = small.withColumn("small", weight).unionByName(large.withColumn("small", F.lit(0).cast(AMOUNT)))
+    running = running_totals(both, [rank, key], ["small"])
+    fits = (weight > F.lit(half).cast(SUM)) & (F.col("cum_small") + weight <= F.lit(left).cast(SUM))
+    first = running.filter(fits).agg(F.min(F.struct("rank", "id", "value", "weight", "cum_small")).alias("x")).first()["x"]
+    if first is not None:
+        cut = Cut(first["rank"], first["id"], first["value"], first["weight"])
+        stretches.append(Stretch(place, cut, half))
+        taken.append(cut.id)
+        return cut, left - first["cum_small"] - cut.weight
+    stretches.append(Stretch(place, until, half))
+    if until is None:
+        return None, left - (small.agg(F.sum("weight")).first()[0] or Decimal(0))
+    taken.append(until.id)
+    return until, left - (half - rest) - until.weight
+
+
 def plan_portfolio(
     df: DataFrame,
     value: str = "expected_value",
@@ -141,13 +173,12 @@ def plan_portfolio(
     budget_fraction: str | float = BUDGET_FRACTION,
     id: str = "id",
     fill: bool = True,
-    stored: bool = False,
 ) -> Selection:
     """Find the selection rule. ``budget_fraction`` is the share of all weights that may be used.
 
-    The id must be a unique BIGINT. Runs a handful of aggregations over three columns.
-    They are written once, so that the source plan is not run again for each, unless
-    ``stored`` says that ``df`` reads a table that already has them.
+    The id must be a unique BIGINT. Runs a handful of aggregations over four columns, which are written
+    once, so that the source plan is not run again for each. Within each file they are sorted by
+    rank, so that a pass over a part of the ranking skips the rest.
     """
     narrow = df.select(
         F.col(id).cast("bigint").alias("id"),
@@ -155,8 +186,7 @@ def plan_portfolio(
         _exact(weight).alias("weight"),
         _rank(value, weight).alias("rank"),
     )
-    if not stored:
-        narrow = stage(narrow, "ranking")
+    narrow = stage(narrow.sortWithinPartitions("rank", "id"), "ranking")
     wanted = (F.col("value") > 0) & (F.col("weight") > 0)
     totals = narrow.agg(
         F.sum("weight").alias("weight"),
@@ -189,12 +219,11 @@ def select_portfolio(
 ) -> DataFrame:
     """Add ``optim_choice`` 1/0 to every loan.
 
-    The table is written once before the selection. Otherwise the optimizer would move
-    filters on the flag below the columns it depends on and repeat their rules inside.
+    The rule is a projection of the table's own columns: no join, and no copy of the table. The id must be the same
+    when the plan of ``df`` runs again.
     """
-    table = stage(df, "portfolio")
-    selection = plan_portfolio(table, value, weight, budget_fraction, id, fill, stored=True)
-    return table.withColumn("optim_choice", optim_choice(selection.chosen()))
+    selection = plan_portfolio(df, value, weight, budget_fraction, id, fill)
+    return df.withColumn("optim_choice", optim_choice(selection.chosen()))
 
 
 def optim_choice(chosen: Column) -> Column:

@@ -16,32 +16,56 @@ from .cutoff import AMOUNT, find_cut
 from .identity import HASH_RANGE, hash_number
 from .profiling import class_balance
 
-def oversample_minority(df: DataFrame, label: str = "label", id: str = "id", seed: int = SEED) -> DataFrame:
+COPIES_PER_CHUNK = 10_000
+MOST_CLASSES = 1_000
+
+
+def oversample_minority(
+    df: DataFrame, label: str = "label", id: str = "id", seed: int = SEED, chunk: int = COPIES_PER_CHUNK
+) -> DataFrame:
     """Repeat rows of the smaller classes until every class has the size of the largest.
 
     Every row is repeated equally often; what is then missing is drawn by a hash of the
-    id, so the result is the same on every run. Adds ``copy``, counted from 1.
+    id, so the result is the same on every run. Adds ``copy``, a BIGINT counted from 1.
+
+    Class sizes and draws come from id and label, which are written once. A row's copies are made in chunks that
+    are spread over the cluster before they are written out, so a class of one row fills no task.
+    A label with more than ``MOST_CLASSES`` values is no class label and is refused.
     """
-    sizes = {row[label]: row["count"] for row in class_balance(df, label).collect()}
+    narrow = stage(
+        df.select(
+            F.col(id).alias("id"),
+            F.col(label).alias("label"),
+            hash_number(id, seed).alias("rank"),
+            F.lit(1).cast(AMOUNT).alias("weight"),
+            F.lit(0).cast(AMOUNT).alias("value"),
+        ),
+        "draw",
+    )
+    found = class_balance(narrow).limit(MOST_CLASSES + 1).collect()
+    if len(found) > MOST_CLASSES:
+        raise ValueError(f"{label} has more than {MOST_CLASSES} values")
+    sizes = {row["label"]: row["count"] for row in found}
     largest = max(sizes.values(), default=0)
-    copies = F.lit(1)
+    copies = F.lit(1).cast("bigint")
     for value, size in sizes.items():
         whole, missing = divmod(largest, size)
         if (whole, missing) == (1, 0):
             continue
-        here = F.col(label).eqNullSafe(F.lit(value))
         extra = F.lit(0)
         if missing:
-            rows = df.filter(here).select(
-                F.col(id).alias("id"),
-                hash_number(id, seed).alias("rank"),
-                F.lit(1).cast(AMOUNT).alias("weight"),
-                F.lit(0).cast(AMOUNT).alias("value"),
-            )
-            cut, _ = find_cut(stage(rows, "draw"), 0, HASH_RANGE - 1, Decimal(missing))
+            rows = narrow.filter(F.col("label").eqNullSafe(F.lit(value)))
+            cut, _ = find_cut(rows, 0, HASH_RANGE - 1, Decimal(missing))
             extra = F.when(cut.before(hash_number(id, seed), F.col(id)), 1).otherwise(0)
-        copies = F.when(here, F.lit(whole) + extra).otherwise(copies)
-    return df.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+        here = F.col(label).eqNullSafe(F.lit(value))
+        copies = F.when(here, (F.lit(whole) + extra).cast("bigint")).otherwise(copies)
+    last_chunk = F.floor((F.col("_copies") - 1) / chunk)
+    chunks = df.withColumn("_copies", copies).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
+    if any(-(-largest // size) > chunk for size in sizes.values()):
+        chunks = chunks.repartition(id, "_chunk")
+    first = F.col("_chunk") * chunk + 1
+    last = F.least(F.col("_copies"), first + chunk - 1)
+    return chunks.withColumn("copy", F.explode(F.sequence(first, last))).drop("_copies", "_chunk")
 
 
 def scale_features(

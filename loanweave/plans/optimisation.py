@@ -5,24 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..functions.decisions import credit_risk_level, portfolio_type
-from ..functions.fixed_values import BUDGET_FRACTION
+from ..functions.fixed_values import AS_DOUBLE, BUDGET_FRACTION, OPTIMISED_TABLE
 from ..functions.risk import risk_columns
 from ..operators.identity import loan_id
 from ..operators.portfolio import select_portfolio
 from ..session import stage
-from ..sources.tables import DEFAULT_FORMAT, read_table, table_path, write_table_evolve
-
-AS_DOUBLE = [
-    "PD_history",
-    "PD",
-    "LGD",
-    "profit_margin",
-    "expected_profit",
-    "expected_loss",
-    "expected_value",
-    "exposure_at_risk",
-]
-
+from ..sources.tables import DEFAULT_FORMAT, publish_gold, table_path
 
 def optimise_portfolio(
     loans: DataFrame, budget_fraction: str | float = BUDGET_FRACTION, id: str = "id"
@@ -35,16 +23,14 @@ def optimise_portfolio(
 
 
 def build_optimised(
-    reporting: DataFrame, root: str, budget_fraction: str | float = BUDGET_FRACTION, fmt: str = DEFAULT_FORMAT
+    reporting: DataFrame,
+    root: str,
+    budget_fraction: str | float = BUDGET_FRACTION,
+    fmt: str = DEFAULT_FORMAT,
+    catalog: bool = False,
 ) -> DataFrame:
     """Write the optimised table with rates and money as DOUBLE, and name it for reports."""
     table = optimise_portfolio(reporting, budget_fraction)
     table = table.withColumns({c: table[c].cast("double") for c in AS_DOUBLE})
     path = table_path(root, "gold", OPTIMISED_TABLE)
-    write_table_evolve(table, path, fmt)
-    published = read_table(reporting.sparkSession, path, fmt)
-    published.createOrReplaceTempView(OPTIMISED_TABLE)
-    return published
-
-
-OPTIMISED_TABLE = "credit_scoring_optimised"
+    return publish_gold(table, path, OPTIMISED_TABLE, fmt, catalog, evolve=True)

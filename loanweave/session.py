@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+# Paths staged inside each open ``scratch``.
+_OPEN: list[list[str]] = []
 
 
 def build_session(app_name: str = "loanweave", cores: int | str = "*", **conf: object) -> SparkSession:
@@ -28,12 +32,13 @@ def build_session(app_name: str = "loanweave", cores: int | str = "*", **conf: o
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or what ``setCheckpointDir`` has set.
 
     Local mode may fall back to a temporary folder. On a cluster a missing setting
-    is an error: a machine-local folder would be lost together with its executor.
+    is an error: a machine-local folder would be lost together with its executor. Whether a ``file:`` path is a
+    shared mount cannot be seen from here; it is taken as named.
     """
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
+    configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
@@ -44,8 +49,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/loanweave/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, known to ``scratch``."""
+    path = f"{shared_dir(spark).rstrip('/')}/loanweave/{name}-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is removed at the end; results must have been written elsewhere by then."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _OPEN.pop():
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(hadoop).delete(place, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.fixed_values import WATERFALL_STEPS
+from ..session import stage
 
 DEFAULT_FORMAT = "parquet"
 
@@ -35,18 +38,48 @@ def write_table(
 
 
 def write_table_evolve(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT) -> None:
-    """Replace the table and let its schema change.
+    """Replace the table's rows and merge its schema.
 
-    Formats with a table schema need to be told to merge it; plain files carry their own.
+    Columns that only the old table has stay, as NULL; new ones are added; a column whose type changes is refused.
+    The rows are written to the shared folder first, so they may come from the table itself and a failure
+    while they are made leaves it as it was.
     """
-    df.write.format(fmt).mode("overwrite").option("mergeSchema", "true").save(path)
-
+    old = _schema_of(df.sparkSession, path, fmt)
+    new = {field.name: field.dataType for field in df.schema}
+    for field in old:
+        if field.name in new and new[field.name] != field.dataType:
+            raise ValueError(f"{field.name} is {field.dataType.simpleString()} in {path}, not {new[field.name].simpleString()}")
+    missing = {field.name: F.lit(None).cast(field.dataType) for field in old if field.name not in new}
+    merged = df.withColumns(missing).select(*[f.name for f in old], *[c for c in df.columns if c not in old.names])
+    stage(merged, "evolving").write.format(fmt).mode("overwrite").option("mergeSchema", "true").save(path)
+
+
+def _schema_of(spark: SparkSession, path: str, fmt: str) -> T.StructType:
+    """Columns of the table at ``path``; none if there is no table yet."""
+    try:
+        return spark.read.format(fmt).load(path).schema
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return T.StructType()
+
+
+def publish_gold(
+    df: DataFrame, path: str, name: str, fmt: str = DEFAULT_FORMAT, catalog: bool = False, evolve: bool = False
+) -> DataFrame:
+    """Write a gold table and make it queryable as ``name``.
 
-def publish_gold(df: DataFrame, path: str, name: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
-    """Write a gold table and make it queryable as ``name`` in this session."""
-    write_table(df, path, fmt)
-    published = read_table(df.sparkSession, path, fmt)
-    published.createOrReplaceTempView(name)
+    In this session by default; with ``catalog`` as a table of the catalog over these files, for every session that
+    uses it. ``evolve`` merges the schema with that of the table before.
+    """
+    spark = df.sparkSession
+    (write_table_evolve if evolve else write_table)(df, path, fmt)
+    published = read_table(spark, path, fmt)
+    if catalog:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, path=path, source=fmt)
+    else:
+        published.createOrReplaceTempView(name)
     return published
 
 

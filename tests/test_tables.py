@@ -6,7 +6,8 @@ import pytest
 
 from loanweave.functions.fixed_values import CATEGORICAL, RAW_NUMERIC
 from loanweave.plans.layers import build_bronze, build_gold
-from loanweave.plans.optimisation import OPTIMISED_TABLE, build_optimised
+from loanweave.functions.fixed_values import OPTIMISED_TABLE
+from loanweave.plans.optimisation import build_optimised
 from loanweave.session import scratch_path, shared_dir
 from loanweave.sources.loans_csv import LOAN_SCHEMA, read_loans_csv
 from loanweave.sources.order_loans import loans_from_orders
