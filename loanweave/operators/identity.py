@@ -2,40 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import SEED, TRAIN_FRACTION
-from .running_totals import running_totals
+from ..session import stage
 
 HASH_RANGE = 1 << 32
 SPLIT_STEPS = 10_000
-COPIES_PER_CHUNK = 100_000
+# Up to so many files their offsets (some 100 bytes each) are broadcast; beyond, the join moves rows.
+MOST_FILES = 100_000
 
 
 def loan_id(df: DataFrame, key: str | None = None, out: str = "id") -> DataFrame:
-    """Add a unique BIGINT id that does not depend on partitioning.
+    """Add a unique BIGINT id.
 
-    With a source ``key`` the key is the id. Without one, rows are numbered from 1 in the
-    order of their hash and columns. Copies of a row are counted before they are
-    numbered, so a row that makes up a third of the table is still one row in the
-    numbering; its copies are written out again in chunks spread over the cluster.
+    With a source ``key`` the key is the id. Without one the rows are written once and numbered from 1 without
+    gaps by their place in the stored files: the ids are fixed by these files, whatever reads them and
+    however often, and equal rows differ. No row moves; what is counted and added up is one number per file.
+    Writing the same rows again, dealt out differently, gives other ids.
     """
     if key is not None:
         return df.withColumn(out, F.col(key).cast("bigint"))
-    columns = df.columns
-    copies = df.groupBy(*columns).agg(F.count("*").alias("_copies"))
-    copies = copies.withColumn("_hash", F.xxhash64(*columns))
-    numbered = running_totals(copies, [F.col(c) for c in ("_hash", *columns)], ["_copies"])
-    last_chunk = ((F.col("_copies") - 1) / COPIES_PER_CHUNK).cast("bigint")
-    chunks = numbered.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
-    first = F.col("cum__copies") - F.col("_copies") + 1 + F.col("_chunk") * COPIES_PER_CHUNK
-    last = F.least(F.col("cum__copies"), first + COPIES_PER_CHUNK - 1)
-    return (
-        chunks.select(*columns, first.alias("_first"), last.alias("_last"))
-        .repartition("_first")
-        .select(*columns, F.explode(F.sequence("_first", "_last")).alias(out))
-    )
+    stored = stage(df, "loans").select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_place"))
+    sizes = stored.groupBy("_file").agg(F.count("*").alias("_rows"))
+    # One row per file.
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stage(sizes.select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")), "file-offsets")
+    if offsets.count() <= MOST_FILES:
+        offsets = F.broadcast(offsets)
+    numbered = stored.join(offsets, "_file")
+    return numbered.withColumn(out, F.col("_before") + F.col("_place") + 1).drop("_file", "_place", "_before")
 
 
 def hash_number(key: str, seed: int = SEED) -> Column:

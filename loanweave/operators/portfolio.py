@@ -21,6 +21,7 @@ from decimal import ROUND_FLOOR, Decimal, localcontext
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.fixed_values import BUDGET_FRACTION
 from ..session import stage
@@ -35,27 +36,30 @@ FILL_ROWS = 2_000
 
 
 def _exact(name: str) -> Column:
-    """Money below a million millions, to the millionth; sums of it are exact.
-
-    A number that this cannot hold is refused: one of a million millions or more, and one that is
-    not 0 but would become 0.
-    """
-    amount = F.col(name)
-    kept = amount.try_cast(AMOUNT)
+    """Money below a million millions, to the millionth; sums of it are exact."""
+    return F.col(name).cast(AMOUNT)
+
+
+def _checked(df: DataFrame, name: str) -> Column:
+    """``_exact`` that refuses numbers it cannot hold: a million millions or more, or not 0 but rounded to 0."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)) or (
+        isinstance(kind, T.DecimalType) and kind.scale <= 6 and kind.precision - kind.scale <= 12
+    ):
+        return _exact(name)
+    amount, kept = F.col(name), F.col(name).try_cast(AMOUNT)
     lost = amount.isNotNull() & (kept.isNull() | ((kept == 0) & (amount != 0)))
-    return F.when(lost, F.raise_error(F.concat(F.lit(f"{name} cannot be kept to the millionth: "), amount.cast("string")))).otherwise(
-        kept
-    )
+    message = F.concat(F.lit(f"{name} cannot be kept to the millionth: "), amount.cast("string"))
+    return F.when(lost, F.raise_error(message)).otherwise(kept)
 
 
-def _rank(value: str, weight: str) -> Column:
+def _rank(value: Column, weight: Column) -> Column:
     """Ascending rank: value per weight, best first, for positive values and weights.
 
     A density counts with its leading digits whatever its size. Rounding makes loans of the same rates one class,
     whatever the last digit of the division; within a class the id decides.
     """
-    both = (_exact(value) > 0) & (_exact(weight) > 0)
-    density = F.when(both, _exact(value).cast("double") / _exact(weight).cast("double"))
+    density = F.when((value > 0) & (weight > 0), value.cast("double") / weight.cast("double"))
     exponent = F.floor(F.log10(density))
     digits = F.round(density / F.pow(F.lit(10.0), exponent.cast("double")) * 10.0**RANK_DIGITS).cast("bigint")
     return -(exponent * 10 ** (RANK_DIGITS + 2) + digits)
@@ -94,7 +98,7 @@ class Selection:
             takes = weight >= 0
         else:
             key = F.col(self.id).cast("bigint")
-            rank = _rank(self.value, self.weight)
+            rank = _rank(_exact(self.value), weight)
             fits = self.blocked.before(rank, key)
             for stretch in self.stretches:
                 fits = fits | stretch.covers(rank, key, weight)
@@ -182,10 +186,9 @@ def plan_portfolio(
     """
     narrow = df.select(
         F.col(id).cast("bigint").alias("id"),
-        _exact(value).alias("value"),
-        _exact(weight).alias("weight"),
-        _rank(value, weight).alias("rank"),
-    )
+        _checked(df, value).alias("value"),
+        _checked(df, weight).alias("weight"),
+    ).withColumn("rank", _rank(F.col("value"), F.col("weight")))
     narrow = stage(narrow.sortWithinPartitions("rank", "id"), "ranking")
     wanted = (F.col("value") > 0) & (F.col("weight") > 0)
     totals = narrow.agg(
@@ -259,7 +262,7 @@ def select_optim_inputs(df: DataFrame, id: str = "id") -> DataFrame:
 def risk_budget(df: DataFrame, fraction: str | float = BUDGET_FRACTION, weight: str = "exposure_at_risk") -> DataFrame:
     """Allowed weight: a share of the weight of all loans."""
     share = F.lit(str(fraction)).cast(SHARE)
-    return df.agg((F.sum(_exact(weight)).cast(TOTAL) * share).cast("double").alias("risk_budget"))
+    return df.agg((F.sum(_checked(df, weight)).cast(TOTAL) * share).cast("double").alias("risk_budget"))
 
 
 def check_budget(
@@ -267,7 +270,7 @@ def check_budget(
 ) -> DataFrame:
     """Used against allowed weight of a table with ``optim_choice``."""
     share = F.lit(str(fraction)).cast(SHARE)
-    amount = _exact(weight)
+    amount = _checked(df, weight)
     used = F.coalesce(F.sum(F.when(F.col("optim_choice") == 1, amount)), F.lit(0))
     allowed = F.sum(amount).cast(TOTAL) * share
     return df.agg(
@@ -298,15 +301,15 @@ def portfolio_bound(df: DataFrame, selection: Selection) -> DataFrame:
 def portfolio_totals(df: DataFrame) -> DataFrame:
     """Value, exposure and amount of the selected loans."""
     return filter_selected(df).agg(
-        F.sum(_exact("expected_value")).cast("double").alias("total_expected_value"),
-        F.sum(_exact("exposure_at_risk")).cast("double").alias("total_risk"),
+        F.sum(_checked(df, "expected_value")).cast("double").alias("total_expected_value"),
+        F.sum(_checked(df, "exposure_at_risk")).cast("double").alias("total_risk"),
         F.sum("credit_amount").alias("total_amount"),
     )
 
 
-def _mean(name: str, where: Column | None = None) -> Column:
+def _mean(df: DataFrame, name: str, where: Column | None = None) -> Column:
     """Mean of an exactly summed column."""
-    value = _exact(name)
+    value = _checked(df, name)
     if where is not None:
         value = F.when(where, value)
     return F.try_divide(F.sum(value).cast("double"), F.count(value))
@@ -315,7 +318,7 @@ def _mean(name: str, where: Column | None = None) -> Column:
 def portfolio_means(df: DataFrame) -> DataFrame:
     """Mean PD, LGD and expected value of the selected loans."""
     return filter_selected(df).agg(
-        _mean("PD").alias("pd_mean"), _mean("LGD").alias("lgd_mean"), _mean("expected_value").alias("ev_mean")
+        _mean(df, "PD").alias("pd_mean"), _mean(df, "LGD").alias("lgd_mean"), _mean(df, "expected_value").alias("ev_mean")
     )
 
 
@@ -326,7 +329,7 @@ def portfolio_comparison(df: DataFrame) -> DataFrame:
         *[
             column
             for short, name in (("PD", "PD"), ("LGD", "LGD"), ("EV", "expected_value"))
-            for column in (_mean(name).alias(f"{short}_initial"), _mean(name, selected).alias(f"{short}_optim"))
+            for column in (_mean(df, name).alias(f"{short}_initial"), _mean(df, name, selected).alias(f"{short}_optim"))
         ]
     )
     return means.unpivot([], means.columns, "metric", "value")

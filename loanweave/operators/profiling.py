@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import TARGET
+from ..session import stage
 from .cleaning import string_columns
-from .running_totals import running_totals
+
+SLICES = 1024
 
 
 def percent_text(share: Column) -> Column:
@@ -87,33 +91,64 @@ def duplicate_audit(df: DataFrame) -> DataFrame:
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
     """Exact quantiles with linear interpolation: (variable, probability, quantile).
 
-    Equal values are counted first, then ranks come from running totals per column. The
-    ``percentile`` function would keep all distinct values of a column in one task's
-    memory.
+    The values next to a quantile's place are searched for: each column's range is cut into slices, whose rows are
+    counted, and the slice that holds the place is cut again, until its values are equal. All columns and places share
+    one aggregation per step, of at most ``SLICES`` rows each and task; values are never shuffled. NULL and NaN
+    do not count. The ``percentile`` function would keep all distinct values of a column in one task's memory.
     """
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    counted = (
-        long_values(values, columns)
-        .filter(F.col("value").isNotNull())
-        .groupBy("variable", "value")
-        .agg(F.count("*").alias("n"))
-    )
-    ranked = running_totals(counted, [F.col("value")], ["n"], group_by=["variable"])
-    place = F.col("probability") * (F.col("total_n") - 1)
-    wanted = ranked.withColumn("probability", F.explode(F.array(*[F.lit(p) for p in probabilities])))
-    wanted = wanted.withColumn("place", place)
-    # A value covers the ranks [cum_n - n, cum_n); the two values around a place make the quantile.
-    first, after = F.col("cum_n") - F.col("n"), F.col("cum_n")
-    low, high = F.floor("place"), F.ceil("place")
-    is_low, is_high = (first <= low) & (low < after), (first <= high) & (high < after)
-    ends = (
-        wanted.filter(is_low | is_high)
-        .groupBy("variable", "probability", "place")
-        .agg(F.max(F.when(is_low, F.col("value"))).alias("lower"), F.max(F.when(is_high, F.col("value"))).alias("upper"))
+    spark = df.sparkSession
+    values = [F.col(c).cast("double") for c in columns]
+    stored = stage(df.select(*[F.nanvl(v, F.lit(None).cast("double")).alias(f"v{i}") for i, v in enumerate(values)]), "quantiles")
+    ends = [F.struct(*[f(f"v{i}").alias(n) for n, f in (("n", F.count), ("low", F.min), ("high", F.max))]) for i in range(len(columns))]
+    totals = stored.agg(F.array(*ends).alias("all")).first()["all"] if columns else []
+    # Per wanted order statistic: the interval that holds it, and how many values lie below that.
+    open_: dict[tuple[int, int], tuple[float, float, int]] = {}
+    for i, total in enumerate(totals):
+        for p in probabilities if total["n"] else ():
+            place = p * (total["n"] - 1)
+            open_ |= {(i, rank): (total["low"], total["high"], 0) for rank in (math.floor(place), math.ceil(place))}
+    found: dict[tuple[int, int], float] = {}
+    while open_:
+        found |= {key: low for key, (low, high, _) in open_.items() if low == high}
+        open_ = {key: interval for key, interval in open_.items() if key not in found}
+        intervals = {(i, low, high) for (i, _), (low, high, _) in open_.items()}
+        if intervals:
+            counted: dict[tuple, list] = {}
+            for row in _slices(stored, sorted(intervals)).collect():
+                counted.setdefault((row["column"], row["low"], row["high"]), []).append(row)
+            for (i, rank), (low, high, before) in open_.items():
+                for row in sorted(counted[i, low, high], key=lambda r: r["slice"]):
+                    if rank < before + row["n"]:
+                        open_[i, rank] = (row["least"], row["most"], before)
+                        break
+                    before += row["n"]
+    rows = []
+    for i, (name, total) in enumerate(zip(columns, totals)):
+        for p in probabilities if total["n"] else ():
+            place = p * (total["n"] - 1)
+            lower, upper = found[i, math.floor(place)], found[i, math.ceil(place)]
+            part = place - math.floor(place)
+            rows.append((name, float(p), lower + part * (upper - lower) if lower != upper else lower))
+    return spark.createDataFrame(rows, "variable string, probability double, quantile double")
+
+
+def _slices(stored: DataFrame, intervals: list[tuple[int, float, float]]) -> DataFrame:
+    """Rows, least and most value of every slice of every interval (column, low, high)."""
+    # At most two intervals per column and probability.
+    table = stored.sparkSession.createDataFrame(intervals, "column int, low double, high double")
+    cells = [F.struct(F.lit(i).alias("column"), F.col(name).alias("value")) for i, name in enumerate(stored.columns)]
+    value, low, high = F.col("value"), F.col("low"), F.col("high")
+    # Halves, so that the width of the widest range is a number too.
+    share = F.nanvl((value / 2 - low / 2) / (high / 2 - low / 2), F.lit(0.5))
+    place = F.least(F.floor(share * SLICES), F.lit(SLICES - 1))
+    place = F.when(value == low, F.lit(0)).when(value == high, F.lit(SLICES)).otherwise(place)
+    return (
+        stored.select(F.inline(F.array(*cells)))
+        .join(F.broadcast(table), "column")
+        .filter(value.between(low, high))
+        .groupBy("column", "low", "high", place.alias("slice"))
+        .agg(F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("most"))
     )
-    part = F.col("place") - F.floor("place")
-    quantile = F.col("lower") + part * (F.col("upper") - F.col("lower"))
-    return ends.select("variable", "probability", quantile.alias("quantile"))
 
 
 def describe_selected(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -9,7 +9,6 @@ from ..functions.fixed_values import AS_DOUBLE, BUDGET_FRACTION, OPTIMISED_TABLE
 from ..functions.risk import risk_columns
 from ..operators.identity import loan_id
 from ..operators.portfolio import select_portfolio
-from ..session import stage
 from ..sources.tables import DEFAULT_FORMAT, publish_gold, table_path
 
 def optimise_portfolio(
@@ -17,7 +16,7 @@ def optimise_portfolio(
 ) -> DataFrame:
     """Risk columns, the selection, and the texts reports filter by. Money stays decimal."""
     if id not in loans.columns:
-        loans = stage(loan_id(loans, out=id), "loans")
+        loans = loan_id(loans, out=id)
     chosen = select_portfolio(risk_columns(loans), budget_fraction=budget_fraction, id=id)
     return chosen.withColumns({"portfolio_type": portfolio_type(), "credit_risk_niveau": credit_risk_level()})
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
 from decimal import Decimal
 
@@ -21,13 +22,20 @@ def portfolio(spark, rows):
     return spark.createDataFrame([(i, Decimal(v), Decimal(w)) for i, v, w in rows], COLUMNS)
 
 
+def density(row):
+    """Exponent and leading digits of value per weight."""
+    d = float(row[1]) / float(row[2])
+    exponent = math.floor(math.log10(d))
+    return exponent * 10**13 + round(d / 10.0**exponent * 1e11)
+
+
 def greedy(rows, fraction, fill=True):
     """Ranking order, taking every loan that fits (or stopping at the first that does not)."""
     left = sum(Decimal(w) for _, _, w in rows) * Decimal(fraction)
     chosen = {i for i, v, w in rows if Decimal(v) > 0 and Decimal(w) == 0}
     ranked = sorted(
         (r for r in rows if Decimal(r[1]) > 0 and Decimal(r[2]) > 0),
-        key=lambda r: (-round(float(r[1]) / float(r[2]) * 1e6), r[0]),
+        key=lambda r: (-density(r), r[0]),
     )
     for i, _, w in ranked:
         if Decimal(w) <= left:
@@ -67,6 +75,54 @@ def test_small_slices_and_portions_change_nothing(spark, monkeypatch, slices, po
     assert chosen_ids(portfolio(spark, rows)) == greedy(rows, "0.30")
 
 
+@pytest.mark.parametrize("scale", ["0.0001", "1", "100000000"])
+def test_densities_of_any_size_are_ranked(spark, scale):
+    """Weights from a million down and values from thousandths up: within one loan's value of the bound."""
+    rows = [(i, str(Decimal(i) * Decimal(scale)), "100") for i in range(1, 301)]
+    df = portfolio(spark, rows)
+    plan = P.plan_portfolio(df)
+    assert chosen_ids(df) == greedy(rows, "0.30") == set(range(211, 301))
+    bound = P.portfolio_bound(df, plan).first()
+    assert bound.upper_bound - bound.selected_value <= 300 * float(scale) * (1 + 1e-9)
+
+
+def test_mixed_densities(spark):
+    rng = random.Random(7)
+    rows = [(i, f"{10 ** rng.uniform(-3, 9):.4f}", f"{10 ** rng.uniform(-3, 6):.4f}") for i in range(300)]
+    assert chosen_ids(portfolio(spark, rows)) == greedy(rows, "0.30")
+
+
+@pytest.mark.parametrize("bad", [1e-9, 1e13])
+def test_amounts_that_would_be_lost_are_refused(spark, bad):
+    df = spark.createDataFrame([(1, 5.0, 1.0), (2, 5.0, bad)], "id bigint, expected_value double, exposure_at_risk double")
+    with pytest.raises(Exception, match="cannot be kept"):
+        P.plan_portfolio(df)
+
+
+def test_number_of_jobs_does_not_follow_the_blocks(spark, monkeypatch):
+    """Blocks of one small loan and nine that just do not fit."""
+    monkeypatch.setattr(P, "FILL_ROWS", 10)
+
+    def jobs(blocks):
+        rows = [(0, "1000000", "1000"), (1, "2000000", "2000")]
+        rows += [
+            (2 + b * 10 + k, f"{(1000 - b) * w / 10000:.4f}", f"{w:.4f}")
+            for b in range(blocks)
+            for k, w in enumerate([1] + [1900] * 9)
+        ]
+        total = sum(float(w) for _, _, w in rows)
+        group = f"blocks-{blocks}"
+        spark.sparkContext.setJobGroup(group, group)
+        df = portfolio(spark, rows)
+        fraction = f"{2500 / total:.9f}"
+        chosen = chosen_ids(df, budget_fraction=fraction)
+        assert chosen == greedy(rows, fraction)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    few, many = jobs(10), jobs(80)
+    assert many <= few + 60
+
+
 def test_small_loans_behind_a_large_one_are_taken_as_stretches(spark, monkeypatch):
     monkeypatch.setattr(P, "FILL_ROWS", 5)
     rng = random.Random(2)
@@ -74,7 +130,8 @@ def test_small_loans_behind_a_large_one_are_taken_as_stretches(spark, monkeypatc
     rows += [(i, str(rng.randrange(100, 900)), "1000") for i in range(900, 903)]
     df = portfolio(spark, rows)
     plan = P.plan_portfolio(df)
-    assert plan.stretches and len(plan.filled) <= 20
+    # Every round looks at FILL_ROWS loans and halves what is left, from below 10,000 to the millionth.
+    assert plan.stretches and len(plan.filled) <= 6 * 34
     chosen = {r.id for r in df.filter(plan.chosen()).collect()}
     assert chosen == greedy(rows, "0.30")
     assert plan.used == sum(Decimal(w) for i, _, w in rows if i in chosen)

@@ -149,18 +149,30 @@ def test_duplicate_audit(spark):
     assert tuple(P.duplicate_audit(df.limit(0)).first()) == (0, 0)
 
 
-@pytest.mark.parametrize("chunk", [7, 100_000])
-def test_ids_are_dense_and_keep_copies_apart(spark, monkeypatch, chunk):
-    monkeypatch.setattr("loanweave.operators.identity.COPIES_PER_CHUNK", chunk)
+@pytest.mark.parametrize("most_files", [0, 100])
+def test_ids_are_dense_fixed_and_keep_copies_apart(spark, monkeypatch, most_files):
+    monkeypatch.setattr("loanweave.operators.identity.MOST_FILES", most_files)
     rows = [("hot", 1)] * 200 + [(f"r{i}", i) for i in range(100)] + [(None, None)] * 3
-    df = spark.createDataFrame(rows, "t string, n int")
-    first = loan_id(df.repartition(1)).collect()
-    second = loan_id(df.repartition(16)).collect()
+    numbered = loan_id(spark.createDataFrame(rows, "t string, n int").repartition(16))
+    first, second = numbered.collect(), numbered.orderBy("t").collect()
     assert sorted(r.id for r in first) == list(range(1, 304))
     assert sorted(map(tuple, first), key=str) == sorted(map(tuple, second), key=str)
     assert sum(r.t == "hot" for r in first) == 200
 
 
+def test_ids_move_no_rows(spark):
+    numbered = loan_id(spark.createDataFrame([("a", 1)], "t string, n int"))
+    assert "Exchange hashpartitioning" not in numbered._jdf.queryExecution().executedPlan().toString()
+
+
+def test_quantiles_of_odd_numbers(spark):
+    values = [1e308, -1e308, float("nan"), None, 5e-324, 0.0, 1.0, 1.0, float("inf"), 2.0]
+    df = spark.createDataFrame([(v, 7.0, None) for v in values], "a double, b double, c double")
+    found = {(r.variable, r.probability): r["quantile"] for r in P.exact_quantiles(df, ["a", "b", "c"], [0.0, 0.5, 1.0]).collect()}
+    assert found == {("a", 0.0): -1e308, ("a", 0.5): 1.0, ("a", 1.0): float("inf"), ("b", 0.0): 7.0, ("b", 0.5): 7.0, ("b", 1.0): 7.0}
+    assert P.exact_quantiles(df.limit(0), ["a"], [0.5]).count() == 0
+
+
 def test_split_does_not_depend_on_partitioning(spark):
     df = spark.range(4000)
     one = {r.id for r in with_split(df.repartition(1)).filter("split = 'train'").collect()}
