@@ -14,12 +14,15 @@ rounds by combining aggregates. Base spans are never changed.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanweave.session import stage
 
-from .common import packed
+from .common import packed, unpacked
 
 # The four kinds in their order, and how each looks.
 KINDS = ("email", "ip", "card", "phone")
@@ -223,7 +226,8 @@ def mask(docs: DataFrame) -> DataFrame:
     scanned = scan(docs, columns)
     spans = per_row(all_spans(scanned))
     text = F.col("doc.text")
-    plain = scanned.join(spans, "row", "left")
+    # Texts in which no pattern has met anything cannot have spans and need not move.
+    met = reduce(or_, [F.col(k).isNotNull() for k in (*KINDS, INSTANCE)])
     step = lambda acc, s: F.when(
         s["start"] >= acc["end"],
         F.struct(
@@ -241,6 +245,11 @@ def mask(docs: DataFrame) -> DataFrame:
         step,
         lambda acc: F.concat(acc["out"], F.substring(text, acc["end"].cast("int") + 1, F.length(text))),
     )
-    result = plain.withColumn("new", F.when(F.col("spans").isNotNull(), masked).otherwise(text))
-    changed = {"text": F.col("new"), "n_chars": F.when(F.col("spans").isNotNull(), F.length("new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("doc.n_chars")) if "n_chars" in columns else None}
-    return result.select(*[changed.get(c, F.col("doc").getField(c)).alias(c) for c in columns])
+    quiet = unpacked(scanned.where(~met), columns)
+    loud = scanned.where(met).join(spans, "row", "left")
+    result = loud.withColumn("new", F.when(F.col("spans").isNotNull(), masked).otherwise(text))
+    changed = {"text": F.col("new")}
+    if "n_chars" in columns:
+        counted = F.length("new").cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.col("spans").isNotNull(), counted).otherwise(F.col("doc.n_chars"))
+    return quiet.unionByName(result.select(*[changed.get(c, F.col("doc").getField(c)).alias(c) for c in columns]))

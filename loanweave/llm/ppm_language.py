@@ -106,7 +106,7 @@ class Model:
 
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     """The model of the labelled documents that are not held out; None where there are none."""
-    labelled = docs.where(
+    labelled = docs.select("doc_id", "lang", "text").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.coalesce(remainder("doc_id", 4), F.lit(0)) != 2)
     )
     frequent = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("of")).orderBy(F.desc("of"), "lang").limit(LANGUAGES)
