@@ -52,17 +52,24 @@ def map_texts(
     schema = source.select("doc", *[F.lit(None).cast(kind).alias(name) for name, kind in results.items()]).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                found = function(batch.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), *[pa.array(found[n], ARROW_TYPES[k]) for n, k in results.items()]],
-                    names=["doc", *results],
-                )
+        for batch in slices(batches):
+            found = function(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *[pa.array(found[n], ARROW_TYPES[k]) for n, k in results.items()]],
+                names=["doc", *results],
+            )
 
     return source.mapInArrow(run, schema)
 
 
+def slices(batches: Iterator[pa.RecordBatch], size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of about ``size`` bytes, so that a task holds few copies of texts at once."""
+    for batch in batches:
+        rows = max(1, int(batch.num_rows * size / max(batch.nbytes, size)))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 
 class GramCosts:
     """Costs of byte grams, kept in a table of fixed size; what it lacks is computed for each distinct gram.
@@ -91,7 +98,7 @@ class GramCosts:
             self.keys[home], self.costs[home] = distinct, fresh
         return costs
 
-    def sums(self, texts: list[bytes], start: bytes, chunk: int = 1 << 20) -> np.ndarray:
+    def sums(self, texts: list[bytes], start: bytes, chunk: int = 1 << 18) -> np.ndarray:
         """Per text, the sum over its bytes, each with the ``order`` bytes before it (``start`` before the first)."""
         total = np.zeros((len(texts), self.costs.shape[1]))
         for owners, buffer, begins, ends in chunks(texts, start, chunk):

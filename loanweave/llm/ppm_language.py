@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import GramCosts, chunks, grams, map_texts
+from .common import GramCosts, chunks, grams, map_texts, slices
 
 ORDER = 3
 SAMPLE = 500
@@ -37,7 +37,7 @@ def remainder(id_col: str, divisor: int):
 
 def gram_counts(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Distinct grams and their counts, for each chunk of texts."""
-    for _, buffer, begins, ends in chunks(texts, START, 1 << 20):
+    for _, buffer, begins, ends in chunks(texts, START, 1 << 18):
         inside = np.zeros(len(buffer) + 1, np.int8)
         np.add.at(inside, begins, 1)
         np.add.at(inside, ends, -1)
@@ -115,7 +115,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     chosen = labelled.join(F.broadcast(frequent), "lang").where(draw <= F.lit(float(sample)) / F.col("of") * F.lit(2.0**63))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts: dict[str, list[bytes]] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 texts.setdefault(lang, []).append(text.lower())

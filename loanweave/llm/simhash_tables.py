@@ -23,6 +23,8 @@ from xxhash import xxh3_128_digest
 
 from loanweave.session import stage
 
+from .common import slices
+
 BITS = 128
 RADIUS = 6
 PART_ROWS = 1024
@@ -123,10 +125,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     schema = source.select(*kept, F.lit(None).cast(CODE).alias("code"), F.lit(None).cast(CODE).alias("edited_code")).schema
 
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                found = [codes_of(batch.column(name).to_pylist()) for name in ("text", "edited")]
-                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *found], names=schema.names)
+        for batch in slices(batches):
+            found = [codes_of(batch.column(name).to_pylist()) for name in ("text", "edited")]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *found], names=schema.names)
 
     coded = source.mapInArrow(run, schema)
     order = Window.partitionBy("bucket").orderBy("place")

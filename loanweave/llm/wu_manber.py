@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from loanweave.session import stage
 
-from .common import packed
+from .common import packed, slices
 
 WINDOW = 13
 BLOCK_BYTES = 8_000_000
@@ -134,7 +134,7 @@ def _search(source: DataFrame, block: list[tuple[str, bytes]], window: int) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finders = searches(shared.value, window)
-        for batch in batches:
+        for batch in slices(batches):
             counts, spans, items = [], [], []
             before = zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)
             for body, (old, names) in zip(batch.column(1).to_pylist(), before, strict=True):
