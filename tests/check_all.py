@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 import traceback
 from pathlib import Path
@@ -19,7 +20,7 @@ from loanweave.session import build_session  # noqa: E402
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]
-    spark = build_session("check", 8)
+    spark = build_session("check", 8, spark__checkpoint__dir=tempfile.mkdtemp(prefix="loanweave-check-"))
     spark.sparkContext.setLogLevel("ERROR")
     connection, oracles, failed = connect(sf_dir), oracle_sql(), 0
     for name, run in queries().items():

@@ -263,6 +263,21 @@ def test_oversampling_balances_exactly(spark, sizes):
     assert sorted(map(tuple, again)) == sorted(map(tuple, out))
 
 
+@pytest.mark.parametrize("chunk", [7, 10_000])
+def test_a_class_of_one_row_is_repeated_in_chunks(spark, chunk):
+    df = spark.createDataFrame([(i, int(i > 0)) for i in range(101)], "id bigint, label int")
+    out = oversample_minority(df, chunk=chunk)
+    assert dict(out.dtypes)["copy"] == "bigint"
+    assert sorted(r.copy for r in out.filter("id = 0").collect()) == list(range(1, 101))
+    assert out.count() == 200
+
+
+def test_a_label_with_very_many_values_is_refused(spark, monkeypatch):
+    monkeypatch.setattr("loanweave.operators.sampling.MOST_CLASSES", 3)
+    with pytest.raises(ValueError, match="more than 3 values"):
+        oversample_minority(spark.range(10).withColumn("label", F.col("id")))
+
+
 def test_scaling(spark):
     df = spark.createDataFrame([(1.0, 10), (2.0, 10), (3.0, 13)], "a double, b int")
     rows = scale_features(df, ["a", "b"]).collect()
