@@ -113,7 +113,8 @@ def base_spans(places: DataFrame) -> DataFrame:
 
 def instances(places: DataFrame, base: DataFrame) -> DataFrame:
     """Identifier-like expressions with number, normal form, patterns, and the base kind they overlap, if any."""
-    shape = F.regexp_replace(F.regexp_replace("name", "[0-9]", "9"), "[a-z]+", "a")
+    # Digits with what stands between them, or that there is an @.
+    shape = F.when(F.contains(F.col("name"), F.lit("@")), "@").otherwise(F.regexp_replace("name", "[0-9]", "9"))
     before = F.lower(F.regexp_extract("left", r"(\S+)\s*$", 1))
     two = F.lower(F.regexp_extract("left", r"(\S+\s+\S+)\s*$", 1))
     after = F.lower(F.regexp_extract("right", r"^\s*(\S+)", 1))

@@ -79,7 +79,7 @@ source AS (SELECT page_id, coalesce(url, '') AS target_uri, coalesce(html, '') A
 parsed AS (SELECT source.*, nl, {_sql_id("'response'", "coalesce(CAST(page_id AS VARCHAR), '')", "target_uri", "payload")} AS refers_to,
   concat_ws(nl, 'HTTP/1.1 200 OK', 'Content-Type: text/html; charset=utf-8', 'Content-Length: ' || strlen(payload)) AS source_headers,
   'sha256:' || sha256(payload) AS source_payload_digest, {_sql_plain("payload")} AS body,
-  {_sql_joined(f"replace(regexp_extract(payload, {_sql_text(warc_derivatives.TITLE)}, 1), chr(10), ' ')")} AS title,
+  replace({_sql_plain(f"regexp_extract(payload, {_sql_text(warc_derivatives.TITLE)}, 1)")}, chr(10), ' ') AS title,
   regexp_extract_all(payload, {_sql_text(warc_derivatives.LINK)}, 1) AS links FROM source, nl),
 fielded AS (SELECT *, array_to_string(list_concat(
     list_transform(string_split(source_headers, nl), lambda h: 'source-header: ' || h),

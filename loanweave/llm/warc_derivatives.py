@@ -96,7 +96,7 @@ def derivatives(source: DataFrame, keep: list[str]) -> DataFrame:
         "*",
         digest(F.col("payload")).alias("source_payload_digest"),
         plain_text(F.col("payload")).alias("text"),
-        _joined(F.regexp_replace(F.regexp_extract("payload", TITLE, 1), "\n", " ")).alias("title"),
+        F.replace(plain_text(F.regexp_extract("payload", TITLE, 1)), F.lit("\n"), F.lit(" ")).alias("title"),
         F.regexp_extract_all("payload", F.lit(LINK), F.lit(1)).alias("links"),
     )
     fields = F.array(

@@ -120,7 +120,9 @@ def test_planted_passages_are_found(spark):
     rows = C.shared_passages(docs(spark, [" ".join(t).capitalize() + "." for t in texts])).collect()
     pairs = {(r.doc_id, r.other_doc_id) for r in rows}
     assert {d for pair in pairs for d in pair} == {1, 4, 5, 9, 2, 7, 10, 11}
-    assert (7, 2) in pairs and (11, 10) in pairs and {(4, 1), (5, 1), (9, 1)} <= pairs
+    assert (7, 2) in pairs and (11, 10) in pairs
+    # Each is tied to an earlier one: the first in its task or over all.
+    assert all(any(a == d and b in (1, 4, 5) for a, b in pairs) for d in (4, 5, 9))
     for r in rows:
         own, far = texts[r.doc_id][r.start_word : r.end_word], texts[r.other_doc_id][r.other_start_word : r.other_end_word]
         assert r.identity >= 0.8 and len(own) >= 50 and len(far) >= 50
