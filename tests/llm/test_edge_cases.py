@@ -7,7 +7,7 @@ import pytest
 from __spark_entry__ import queries
 from loanweave.llm.queries import QUERIES
 
-NAMES = sorted([*QUERIES, "pipeline"])
+NAMES = sorted({*QUERIES, "pipeline"})
 # Extra columns with names that operators use themselves.
 EXTRA = ", doc string, row bigint, fp bigint, root int, text_crc32 string, `of` int, _text string, `a.b` int"
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint" + EXTRA
