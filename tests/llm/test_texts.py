@@ -130,6 +130,31 @@ def test_planted_passages_are_found(spark):
             assert own == far == passage
 
 
+@pytest.mark.parametrize(("words", "apart", "more"), [(60, 60, 0), (60, 90, 0), (60, 120, 30), (100, 100, 0), (100, 200, 40)])
+def test_passages_with_unrelated_text_between_are_two(spark, words, apart, more):
+    rng = random.Random(words + apart + more)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    one, two = fresh(words), fresh(words)
+    texts = [fresh(50) + one + fresh(apart + k * more) + two + fresh(50) for k in range(2)]
+    rows = C.shared_passages(docs(spark, [" ".join(t) for t in texts])).collect()
+    assert sorted(texts[1][r.start_word : r.end_word] for r in rows) == sorted([one, two])
+    assert all(texts[0][r.other_start_word : r.other_end_word] == texts[1][r.start_word : r.end_word] and r.identity == 1 for r in rows)
+
+
+def test_longest_good_parts_of_a_chain():
+    import numpy as np
+
+    fresh = iter(range(10**6))
+    take = lambda n: [next(fresh) for _ in range(n)]
+    # Runs of 40 words, 12 new ones between (identity 80/92), far from 70 words; and 45 words alone, which are too few.
+    parts = [take(40), take(40), take(70), take(45)]
+    a, b = ([*parts[0], *take(12), *parts[1], *take(150), *parts[2], *take(n), *parts[3]] for n in (300, 310))
+    x = [a.index(p[k]) for p in parts for k in (0, 30)]
+    y = [b.index(p[k]) for p in parts for k in (0, 30)]
+    found = C.stretches(np.array(a), np.array(b), list(zip(x, y, strict=True)))
+    assert found == [(0, 92, 0, 92, 80), (242, 312, 242, 312, 70)]
+
+
 def test_stages_of_the_pipeline(spark):
     frames = [spark.read.parquet(f"{SF}/documents.parquet")]
     for name, function in corpus_pipeline.STAGES[:-1]:
