@@ -141,6 +141,17 @@ def test_passages_with_unrelated_text_between_are_two(spark, words, apart, more)
     assert all(texts[0][r.other_start_word : r.other_end_word] == texts[1][r.start_word : r.end_word] and r.identity == 1 for r in rows)
 
 
+def test_partners_that_are_not_alike_both_stay(spark):
+    rng = random.Random(4)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    whole = fresh(400)
+    one, two = ([w if i % 7 != k else f"new{k}n{i}" for i, w in enumerate(whole)] for k in (6, 2))
+    rows = C.shared_passages(docs(spark, [" ".join(t) for t in (one, two, whole)]).coalesce(1)).collect()
+    # 6 of 7 words agree with each of the two, which agree with each other in 5 of 7.
+    assert {(r.doc_id, r.other_doc_id) for r in rows} == {(2, 0), (2, 1)}
+    assert all(r.end_word - r.start_word > 350 for r in rows)
+
+
 def test_longest_good_parts_of_a_chain():
     import numpy as np
 
