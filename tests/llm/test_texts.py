@@ -152,6 +152,36 @@ def test_partners_that_are_not_alike_both_stay(spark):
     assert all(r.end_word - r.start_word > 350 for r in rows)
 
 
+@pytest.mark.parametrize("parts", [1, 2, 6])
+def test_a_passage_is_found_behind_shorter_ones_that_hold_its_seeds(spark, parts):
+    rng = random.Random(5)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage = fresh(68)
+    texts = [fresh(100) + piece + fresh(100) for piece in (passage[:49], passage[19:], passage, fresh(9), fresh(9), passage)]
+    # Every seed is first in one of the first two, which share 49 words with the others. Once more behind other pieces.
+    texts += [fresh(100) + passage[:40] + fresh(100), fresh(100) + passage + fresh(100)]
+    frame = docs(spark, [" ".join(t) for t in texts]).repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
+    rows = C.shared_passages(frame).collect()
+    whole = {(r.doc_id, r.other_doc_id) for r in rows if texts[r.doc_id][r.start_word : r.end_word] == passage}
+    assert {d for d, _ in whole} == {5, 7} and whole <= {(5, 2), (7, 5), (7, 2)}
+
+
+def test_equal_windows_have_equal_hashes_and_seed_places():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    common = rng.integers(0, 2**16, 70).astype(np.uint64)
+    found = []
+    for n in (13, 57):
+        words = np.concatenate([rng.integers(0, 2**16, n).astype(np.uint64), common, rng.integers(0, 2**16, 30).astype(np.uint64)])
+        codes, places = C.minimizers(words)
+        hashes, at = C.exact_windows(words, codes, places, codes)
+        assert len(hashes) == len(words) - C.LEAST_WORDS + 1
+        found.append(dict(zip(hashes.tolist(), (at - n).tolist(), strict=True)))
+    same = found[0].keys() & found[1].keys()
+    assert len(same) == 70 - C.LEAST_WORDS + 1 and all(found[0][h] == found[1][h] for h in same)
+
+
 def test_longest_good_parts_of_a_chain():
     import numpy as np
 
