@@ -2,7 +2,8 @@
 
 Base identifiers (email, ip, card, phone) are found by pattern and check in every whole text. They are
 the seeds of a bootstrap: every identifier-like expression (digit groups, words with ``@``) is an
-instance; its lexical patterns are its shape together with the words around it. Patterns and
+instance; its lexical patterns are its shape together with the words around it, and for ``MANY_DIGITS`` or more
+also the words alone, so that other formats than the seeds' are met. Patterns and
 instances form a graph. In each round a pattern's confidence is the share of known identifiers
 of a kind among its instances, and an instance's score the best confidence of its patterns. Instances that
 score high enough and overlap no base span become spans of that kind.
@@ -36,6 +37,8 @@ PATTERNS = {
 INSTANCE = "instance"
 INSTANCE_PATTERN = r"\+?\(?[0-9][0-9\x20().-]*[0-9]|[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]*[A-Za-z0-9-]"
 CONTEXT_CHARS = 48
+#: So many digits may be an identifier whatever stands between them.
+MANY_DIGITS = 7
 ROUNDS = 3
 SMOOTHING = 2
 CONFIDENCE = 0.9
@@ -115,6 +118,8 @@ def instances(places: DataFrame, base: DataFrame) -> DataFrame:
     """Identifier-like expressions with number, normal form, patterns, and the base kind they overlap, if any."""
     # Digits with what stands between them, or that there is an @.
     shape = F.when(F.contains(F.col("name"), F.lit("@")), "@").otherwise(F.regexp_replace("name", "[0-9]", "9"))
+    many = F.length(F.regexp_replace("name", "[^0-9]", "")) >= MANY_DIGITS
+    coarse = F.when(~F.contains(F.col("name"), F.lit("@")) & many, "digits")
     before = F.lower(F.regexp_extract("left", r"(\S+)\s*$", 1))
     two = F.lower(F.regexp_extract("left", r"(\S+\s+\S+)\s*$", 1))
     after = F.lower(F.regexp_extract("right", r"^\s*(\S+)", 1))
@@ -129,9 +134,11 @@ def instances(places: DataFrame, base: DataFrame) -> DataFrame:
             F.array_distinct(
                 F.filter(
                     F.array(
-                        F.when(before != "", F.xxhash64(F.lit("before"), before, shape)),
-                        F.when(two != "", F.xxhash64(F.lit("two before"), two, shape)),
-                        F.when(after != "", F.xxhash64(F.lit("after"), after, shape)),
+                        *[
+                            F.when((words != "") & form.isNotNull(), F.xxhash64(F.lit(side), words, form))
+                            for form in (shape, coarse)
+                            for side, words in (("before", before), ("two before", two), ("after", after))
+                        ]
                     ),
                     lambda p: p.isNotNull(),
                 )

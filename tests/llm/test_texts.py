@@ -59,6 +59,14 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert rows[61] == [] and rows[62] == [] and all(len(rows[i]) == 1 for i in range(60))
 
 
+def test_contexts_discover_other_formats(spark):
+    known = [f"please call +1 (555) 123-45{i} now" for i in range(10, 70)]
+    hidden = ["please call 555-123-4567 now", "please call 12 34 now", "it took 555-123-4567 steps"]
+    rows = {r.doc.doc_id: r.spans for r in P.find_personal_data(docs(spark, known + hidden), ["doc_id"]).collect()}
+    assert [(s.kind, s.start, s.end, s.base) for s in rows[60]] == [("phone", 12, 24, False)]
+    assert rows[61] == [] and all(len(rows[i]) == 1 for i in range(60))
+
+
 def test_masking(spark):
     texts = ["call +1 (234) 555-1234 now", "nothing", "é a@b.co\U0001f600 1.2.3.4", None]
     rows = {r.doc_id: (r.text, r.n_chars) for r in P.mask(docs(spark, texts)).collect()}
