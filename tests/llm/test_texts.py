@@ -190,6 +190,26 @@ def test_equal_windows_have_equal_hashes_and_seed_places():
     assert len(same) == 70 - C.LEAST_WORDS + 1 and all(found[0][h] == found[1][h] for h in same)
 
 
+@pytest.mark.parametrize(("identity", "least"), [(0.85, 0.4), (0.9, 0.8), (0.95, 0.95)])
+def test_recall_on_planted_passages_is_as_written(identity, least):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    fresh = lambda n: rng.integers(0, 2**63, n, dtype=np.uint64)
+    found = 0
+    for _ in range(60):
+        passage = fresh(100)
+        edited = passage.copy()
+        places = rng.choice(np.arange(1, 99), round((1 - identity) * 100), replace=False)
+        edited[places] = fresh(len(places))
+        a, b = (np.concatenate([fresh(150), p, fresh(150)]) for p in (passage, edited))
+        (codes, x), (others, y) = C.minimizers(a), C.minimizers(b)
+        _, i, j = np.intersect1d(codes, others, return_indices=True)
+        rows = [row for chain in C.chains(x[i], y[j]) for row in C.stretches(a, b, chain)]
+        found += any(min(row[1], 250) - max(row[0], 150) >= 80 for row in rows)
+    assert found >= 60 * least
+
+
 def test_longest_good_parts_of_a_chain():
     import numpy as np
 
