@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanweave.session import stage
+
 from . import (
     bfd_shards,
     bin_slack,
     ctw_scores,
+    fill_in_middle,
     passage_chains,
     pii_bootstrap,
     ppm_language,
     simhash_groups,
     simhash_tables,
+    vector_codes,
     warc_derivatives,
     wu_manber,
 )
@@ -216,3 +220,85 @@ def op9_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_collinear_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passage_chains.shared_passages(table(spark, sf_dir, "documents"))
+
+
+def _vector_rounds() -> str:
+    """Assignments and averages of all rounds, the last assignment by itself."""
+    distance = "list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - e[i]) * (x[i] - e[i])))"
+    steps = []
+    for k in range(vector_codes.ROUNDS + 1):
+        steps.append(f"""
+near{k} AS MATERIALIZED (SELECT row, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d
+  FROM (SELECT row, part, entry, {distance} AS d FROM parts JOIN book{k} USING (part)) GROUP BY row, part)""")
+        if k < vector_codes.ROUNDS:
+            steps.append(f"""
+mean{k} AS (SELECT part, entry, list(floor_mean ORDER BY i) AS m FROM (
+  SELECT part, entry, i, (s - ((s % n) + n) % n) // n AS floor_mean FROM (
+    SELECT part, entry, i, CAST(sum(x[i]) AS BIGINT) AS s, count(*) AS n
+    FROM near{k} JOIN parts USING (row, part), LATERAL (SELECT unnest(range(1, len(x) + 1)) AS i) GROUP BY part, entry, i))
+  GROUP BY part, entry),
+book{k + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m, e) AS e FROM book{k} LEFT JOIN mean{k} USING (part, entry))""")
+    return ",".join(steps)
+
+
+@query
+def op12_walsh_hadamard_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, codebooks = vector_codes.encode(table(spark, sf_dir, "embeddings"), ["vec_id", "label"])
+    error = F.aggregate("errors", F.lit(0).cast("bigint"), lambda a, b: a + b)
+    code = F.concat_ws("", F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))))
+    rows = stage(found.select("doc.vec_id", "doc.label", code.alias("code"), error.alias("error")), "vector-codes")
+    labels = rows.groupBy("label").agg(F.sum("error").alias("label_error")).withColumnRenamed("label", "of_label")
+    return rows.join(labels, F.col("label").eqNullSafe(F.col("of_label"))).select(
+        "vec_id", "code", "error", "label_error", F.lit(vector_codes.digest(codebooks)).alias("codebooks_sha256")
+    )
+
+
+ORACLES["op12_walsh_hadamard_codes"] = f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(CAST(x AS DOUBLE)))) = len(embedding)),
+vectors AS (SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS row FROM kept),
+parts AS MATERIALIZED (SELECT row, part, v[part * (len(v) // 4) + 1 : (part + 1) * (len(v) // 4)] AS x
+  FROM vectors, LATERAL (SELECT unnest(range(0, 4)) AS part)),
+book0 AS (SELECT part, row - 1 AS entry, x AS e FROM parts WHERE row <= 256),{_vector_rounds()},
+coded AS (SELECT row, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM near{vector_codes.ROUNDS} GROUP BY row)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) FROM book{vector_codes.ROUNDS}) AS codebooks_sha256
+FROM vectors JOIN coded USING (row)
+"""
+
+
+@query
+def op13_skip_list_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle.transform(table(spark, sf_dir, "documents"), ["doc_id"])
+    return found.select(
+        "doc.doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_in_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+ORACLES["op13_skip_list_fill_in_middle"] = r"""
+WITH named AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS name FROM documents),
+drawn AS (SELECT doc_id, text, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS lines,
+  list_transform(range(0, 4), lambda k: CAST('0x' || substr(name, CAST(8 * k + 1 AS INTEGER), 8) AS BIGINT)) AS h FROM named),
+ranked AS (SELECT *, len(lines) AS n, least(h[1] % (len(lines) + 1), h[2] % (len(lines) + 1)) AS a,
+  greatest(h[1] % (len(lines) + 1), h[2] % (len(lines) + 1)) AS b,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 100 THEN 'plain'
+    WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+cut AS (SELECT *, array_to_string(lines[1 : a], '') AS p, array_to_string(lines[a + 1 : b], '') AS m,
+  array_to_string(lines[b + 1 : n], '') AS s FROM ranked)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM cut
+"""

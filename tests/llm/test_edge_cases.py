@@ -36,6 +36,7 @@ ODD = [
     row(10, "mail a.b@example.com or 10.0.0.1, card 4111 1111 1111 1111, call +1 (234) 555-1234"),
 ]
 BENCH = [(1, "one"), (1, "one"), (None, "another text under the same id"), (2, None), (3, ""), (4, LONG[:400])]
+VECTORS = [(1, [0.5, None, 0.5, 0.5], 1), (2, None, 1), (None, [0.5, -0.5, 0.25, 0.0], None), (3, [], 1), (3, [float("nan")] * 4, 1), (4, [0.5] * 5, 2)]
 PAGES = [(1, None, None), (None, "http://a", "<p>x"), (2, "u", "<!-- open <p>gone"), (2, "u", "<!-- open <p>gone"), (3, "v", LONG)]
 
 
@@ -45,6 +46,7 @@ def odd(tables):
         documents=(DOCS, ODD),
         benchmark=("item_id bigint, text string, spans int", [(*b, 0) for b in BENCH]),
         pages=("page_id bigint, url string, html string, block string", [(*p, "b") for p in PAGES]),
+        embeddings=("vec_id bigint, embedding array<float>, label int, codes int", [(*v, 0) for v in VECTORS]),
     )
 
 
@@ -54,6 +56,7 @@ def empty(tables):
         documents=(DOCS, []),
         benchmark=("item_id bigint, text string", []),
         pages=("page_id bigint, url string, html string", []),
+        embeddings=("vec_id bigint, embedding array<float>, label int", []),
     )
 
 
@@ -64,6 +67,8 @@ def test_odd_rows(spark, odd, name):
         assert len(rows) == 2 * len(PAGES)
     elif name == "pipeline":
         assert {r.doc_id for r in rows} <= {None, 2, 4, 6, 7, 8, 9, 10} and 7 in {r.doc_id for r in rows}
+    elif name.startswith("op12_"):
+        assert sorted(r.vec_id or -1 for r in rows) == [-1, 3, 4] and {r.error for r in rows} == {0}
     elif name.startswith("op4_"):
         assert sum(r.piece == 0 for r in rows) == len(ODD)
     elif not name.startswith("op10_"):
