@@ -29,8 +29,11 @@ PARTS = 4
 ENTRIES = 256
 ROUNDS = 4
 SCALE = 1024
-#: Points compared with all entries at once in a task.
-BATCH = 2048
+#: Points compared with all entries at once in a task, so that their sums stay in a core's cache.
+BATCH = 128
+#: Coefficients after which entries are left out; once fewer than one pair in ``FEW`` is left, only these go on.
+HEADS = (2, 4, 8, 16, 32, 64, 128)
+FEW = 10
 
 
 def sequency_order(n: int) -> np.ndarray:
@@ -55,30 +58,57 @@ def transformed(points: np.ndarray) -> np.ndarray:
 
 def nearest(points: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For transformed points: the nearest transformed entry (ties: the lower index) and the distance in scaled squares."""
-    n, head = points.shape[1], min(4, points.shape[1])
     if not len(points):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    so_far = np.zeros((len(points), len(entries)), np.int64)
-    for k in range(head):
-        step = points[:, k, None] - entries[None, :, k]
-        so_far += step * step
-    # The whole distance of one entry bounds the least one from above.
-    guess = entries[so_far.argmin(axis=1)]
-    bound = ((points - guess) ** 2).sum(axis=1)
-    who, entry = np.nonzero(so_far <= bound[:, None])
-    total = so_far[who, entry]
-    while head < n:
-        last = min(n, 2 * head)
-        step = points[who, head:last] - entries[entry, head:last]
-        total = total + (step * step).sum(axis=1)
+    most = max(int(np.abs(points).max()), int(np.abs(entries).max()))
+    kind = np.int32 if 4 * points.shape[1] * most * most < 2**31 else np.int64
+    points, entries = points.astype(kind), entries.astype(kind)
+    columns = np.ascontiguousarray(entries.T)
+    blocks = [_nearest(points[at : at + BATCH], entries, columns) for at in range(0, len(points), BATCH)]
+    return tuple(np.concatenate(side).astype(np.int64) for side in zip(*blocks, strict=True))
+
+
+def _nearest(points: np.ndarray, entries: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    n, k = points.shape[1], 0
+    so_far = np.zeros((len(points), len(entries)), points.dtype)
+    step = np.empty_like(so_far)
+    bound = None
+    for head in [h for h in HEADS if h < n]:
+        while k < head:
+            _add_square(so_far, step, points[:, k], columns[k])
+            k += 1
+        # The whole distance of one entry bounds the least one from above.
+        guess = ((points - entries[so_far.argmin(axis=1)]) ** 2).sum(axis=1, dtype=points.dtype)
+        bound = guess if bound is None else np.minimum(bound, guess)
+        left = so_far <= bound[:, None]
+        if np.count_nonzero(left) * FEW < left.size:
+            return _among(points, entries, *np.nonzero(left), so_far[left], bound, k)
+    while k < n:
+        _add_square(so_far, step, points[:, k], columns[k])
+        k += 1
+    found = so_far.argmin(axis=1)
+    return found, so_far[np.arange(len(points)), found]
+
+
+def _add_square(so_far: np.ndarray, step: np.ndarray, of_points: np.ndarray, of_entries: np.ndarray) -> None:
+    np.subtract(of_points[:, None], of_entries[None, :], out=step)
+    np.multiply(step, step, out=step)
+    np.add(so_far, step, out=so_far)
+
+
+def _among(points, entries, who, entry, total, bound, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same for the pairs that are left, by point and then entry; every point has kept one at least."""
+    n = points.shape[1]
+    while k < n:
+        last = min(n, 2 * k)
+        step = points[who, k:last] - entries[entry, k:last]
+        total = total + (step * step).sum(axis=1, dtype=total.dtype)
         stay = total <= bound[who]
-        who, entry, total, head = who[stay], entry[stay], total[stay], last
-    # Pairs are ordered by point, then entry; every point has kept its guess at least.
+        who, entry, total, k = who[stay], entry[stay], total[stay], last
     starts = np.flatnonzero(np.diff(who, prepend=-1))
     least = np.minimum.reduceat(total, starts)
     first = np.flatnonzero(total == least[who])
-    best = first[np.flatnonzero(np.diff(who[first], prepend=-1))]
-    return entry[best], least
+    return entry[first[np.flatnonzero(np.diff(who[first], prepend=-1))]], least
 
 
 def _assigned(parts: np.ndarray, codebooks: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -87,9 +117,8 @@ def _assigned(parts: np.ndarray, codebooks: list[np.ndarray]) -> tuple[np.ndarra
     errors = np.zeros(parts.shape[:2], np.int64)
     for p, book in enumerate(codebooks):
         entries = transformed(book)
-        for at in range(0, len(parts), BATCH):
-            codes[at : at + BATCH, p], scaled = nearest(transformed(parts[at : at + BATCH, p]), entries)
-            errors[at : at + BATCH, p] = scaled // entries.shape[1]
+        codes[:, p], scaled = nearest(transformed(parts[:, p]), entries)
+        errors[:, p] = scaled // entries.shape[1]
     return codes, errors
 
 
