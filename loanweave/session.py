@@ -10,6 +10,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+# What a write has shuffled is of no use once it is written.
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # Paths staged inside each open ``scratch``.
 _OPEN: list[list[str]] = []
 
@@ -73,9 +75,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage, so a lost executor re-reads files instead of recomputing, and
-    the later passes over the result read only the columns they need.
+    the later passes over the result read only the columns they need. Shuffle files of the write are
+    removed at its end, so a chain of stages holds those of one stage at a time.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP_CONF, "false")
+    spark.conf.set(CLEANUP_CONF, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP_CONF, before)
     return spark.read.schema(df.schema).parquet(path)
