@@ -15,6 +15,7 @@ from . import (
     passage_chains,
     pii_bootstrap,
     ppm_language,
+    repeated_bytes,
     simhash_groups,
     simhash_tables,
     vector_codes,
@@ -302,3 +303,18 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form,
   sha256(text) AS restored_sha256
 FROM cut
 """
+
+
+@query
+def op11_column_wise_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_bytes.without_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
+    begins = F.filter("spans", lambda x, k: k % 2 == 0)
+    ends = F.filter("spans", lambda x, k: k % 2 == 1)
+    removed = F.aggregate(F.zip_with(begins, ends, lambda a, b: b - a), F.lit(0).cast("bigint"), lambda a, b: a + b)
+    return found.select(
+        "doc.doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size(begins).cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
