@@ -16,7 +16,7 @@ position in the ranking, that every task applies to its own rows without a join.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from decimal import ROUND_FLOOR, Decimal, localcontext
 
 from pyspark.sql import Column, DataFrame
@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from ..functions.fixed_values import BUDGET_FRACTION
 from ..session import stage
 from .cutoff import AMOUNT, SUM, Cut, find_cut
+from .knapsack_core import solve_core
 from .running_totals import running_totals
 
 SHARE = "decimal(9,6)"
@@ -33,6 +34,11 @@ TOTAL = "decimal(28,6)"
 # A rank is the decimal exponent of a density and this many of its digits behind the first.
 RANK_DIGITS = 11
 FILL_ROWS = 2_000
+# Loans that prices may leave open, and rounds of deciding and solving.
+CORE_ROWS = 2_000
+CORE_ROUNDS = 3
+PRICE = "decimal(19,12)"
+MILLIONTH = Decimal("1e-6")
 
 
 def _exact(name: str) -> Column:
@@ -78,9 +84,34 @@ class Stretch:
         return inside if self.until is None else inside & self.until.before(rank, key)
 
 
+@dataclass(frozen=True)
+class Core:
+    """Loans decided by their surplus at a price, except for those whose choice is listed."""
+
+    price: Decimal
+    above: Decimal
+    ids: tuple[int, ...]
+    left_out: tuple[int, ...] = ()
+
+    def surplus(self, value: Column, weight: Column) -> Column:
+        """Exact; NULL where the price of the weight has 19 digits or more, so is far above any value."""
+        cost = (F.lit(self.price).cast(PRICE) * weight).try_cast("decimal(36,18)")
+        return value.cast("decimal(30,18)") - cost
+
+    def covers(self, value: Column, weight: Column, key: Column) -> Column:
+        decided = self.surplus(value, weight) >= F.lit(self.above).cast("decimal(38,18)")
+        decided = F.coalesce(decided, F.lit(False))
+        if self.left_out:
+            decided = decided & ~key.isin(list(self.left_out))
+        return decided | key.isin(list(self.ids)) if self.ids else decided
+
+
 @dataclass(frozen=True)
 class Selection:
-    """Which loans are chosen, as a rule that can be applied to any table with these columns."""
+    """Which loans are chosen, as a rule that can be applied to any table with these columns.
+
+    ``optimal`` tells that no choice within the budget is worth more; False only says that this is not known.
+    """
 
     value: str
     weight: str
@@ -90,12 +121,16 @@ class Selection:
     blocked: Cut | None = None
     filled: tuple[int, ...] = ()
     stretches: tuple[Stretch, ...] = ()
+    core: Core | None = None
+    optimal: bool = False
 
     def chosen(self) -> Column:
         """True for a chosen loan."""
         earns, weight = _exact(self.value) > 0, _exact(self.weight)
         if self.blocked is None:
             takes = weight >= 0
+        elif self.core is not None:
+            takes = (weight == 0) | ((weight > 0) & self.core.covers(_exact(self.value), weight, F.col(self.id).cast("bigint")))
         else:
             key = F.col(self.id).cast("bigint")
             rank = _rank(_exact(self.value), weight)
@@ -177,9 +212,12 @@ def plan_portfolio(
     budget_fraction: str | float = BUDGET_FRACTION,
     id: str = "id",
     fill: bool = True,
+    exact: bool = False,
 ) -> Selection:
     """Find the selection rule. ``budget_fraction`` is the share of all weights that may be used.
 
+    With ``exact`` it goes on from there to the best choice; ``optimal`` of the result tells if it is proven.
+
     The id must be a unique BIGINT. Runs a handful of aggregations over four columns, which are written
     once, so that the source plan is not run again for each. Within each file they are sorted by
     rank, so that a pass over a part of the ranking skips the rest.
@@ -203,13 +241,82 @@ def plan_portfolio(
         # Weights have six decimals, so what lies below the sixth cannot be spent.
         budget = (total * Decimal(str(budget_fraction))).quantize(Decimal("1e-6"), rounding=ROUND_FLOOR)
         if demand <= budget:
-            return Selection(value, weight, id, budget, demand)
+            return Selection(value, weight, id, budget, demand, optimal=True)
         rows = narrow.filter(wanted)
         blocked, left = find_cut(rows, totals["low"], totals["high"], budget)
         filled, stretches = [], []
         if fill:
             filled, stretches, left = _fill(rows, blocked, totals["high"], left)
-        return Selection(value, weight, id, budget, budget - left, blocked, tuple(filled), tuple(stretches))
+        found = Selection(value, weight, id, budget, budget - left, blocked, tuple(filled), tuple(stretches))
+        return improve(rows, found) if exact else found
+
+
+def improve(rows: DataFrame, found: Selection) -> Selection:
+    """The best choice from a good one, for the ranking ``rows`` (value and weight above 0).
+
+    Each round is two aggregations over the stored ranking and brings at most ``CORE_ROWS`` loans to the driver: those nearest
+    to the price that a bound against the choice at hand leaves open. If there are more, the rest is decided by price, and a
+    better choice narrows the bound for the next round. Without a proof in the end the best choice so far stays.
+    """
+    price = (found.blocked.value / found.blocked.weight).quantize(Decimal("1e-12"), rounding=ROUND_FLOOR)
+    if price >= 10**7:
+        return found
+    by_price = Core(price, Decimal(0), ())
+    value, weight = F.col("value"), F.col("weight")
+    surplus = by_price.surplus(value, weight)
+    chosen = Selection("value", "weight", "id", found.budget, found.used, found.blocked, found.filled, found.stretches).chosen()
+    sums = rows.agg(
+        F.sum(F.greatest(surplus, F.lit(0).cast("decimal(38,18)"))).alias("surplus"),
+        F.sum(F.when(chosen, value)).alias("value"),
+    ).first()
+    bound = price * found.budget + (sums["surplus"] or 0)
+    reached = sums["value"] or Decimal(0)
+    for _ in range(CORE_ROUNDS):
+        gap = bound - reached
+        # Values have six decimals: no choice is between.
+        if gap < MILLIONTH:
+            return replace(found, optimal=True)
+        limit = F.lit(gap).cast("decimal(38,18)")
+        decided = surplus >= limit
+        inside = F.abs(surplus) < limit
+        counts = rows.agg(
+            F.count_if(inside).alias("n"), F.sum(F.when(decided, weight)).alias("weight"), F.sum(F.when(decided, value)).alias("value")
+        ).first()
+        whole = counts["n"] <= CORE_ROWS
+        if whole:
+            core = rows.where(inside).select("id", "value", "weight").collect()
+            above, fixed_weight, fixed_value = gap, counts["weight"] or Decimal(0), counts["value"] or Decimal(0)
+        else:
+            nearest = rows.where(inside).withColumn("away", F.abs(surplus)).orderBy("away", "id").limit(CORE_ROWS)
+            core = nearest.select("id", "value", "weight").collect()
+            ids = [row["id"] for row in core]
+            rest = rows.where((surplus > 0) & ~F.col("id").isin(ids)).agg(F.sum("weight"), F.sum("value")).first()
+            # Behind the nearest ones the sign decides. Rows as near as these that were cut off must not be taken twice.
+            above, fixed_weight, fixed_value = None, rest[0] or Decimal(0), rest[1] or Decimal(0)
+        units = lambda amount: int(amount / MILLIONTH)
+        choice = solve_core(
+            [units(row["value"]) for row in core],
+            [units(row["weight"]) for row in core],
+            float(price),
+            units(found.budget - fixed_weight),
+            units(reached - fixed_value),
+        )
+        if choice is None:
+            return found
+        proven = whole and choice.proven
+        better = fixed_value + choice.value * MILLIONTH
+        if better > reached:
+            picked = tuple(core[k]["id"] for k in choice.chosen)
+            used = fixed_weight + sum((core[k]["weight"] for k in choice.chosen), Decimal(0))
+            left_out = () if above is not None else tuple(sorted({row["id"] for row in core} - set(picked)))
+            above = Decimal("1e-18") if above is None else above
+            found = replace(found, used=used, core=Core(price, above, picked, left_out))
+            reached = better
+        elif not proven:
+            return found
+        if proven:
+            return replace(found, optimal=True)
+    return found
 
 
 def select_portfolio(
@@ -219,13 +326,14 @@ def select_portfolio(
     budget_fraction: str | float = BUDGET_FRACTION,
     id: str = "id",
     fill: bool = True,
+    exact: bool = False,
 ) -> DataFrame:
-    """Add ``optim_choice`` 1/0 to every loan.
+    """Add ``optim_choice`` 1/0 to every loan; with ``exact`` the best choice where it can be found.
 
     The rule is a projection of the table's own columns: no join, and no copy of the table. The id must be the same
     when the plan of ``df`` runs again.
     """
-    selection = plan_portfolio(df, value, weight, budget_fraction, id, fill)
+    selection = plan_portfolio(df, value, weight, budget_fraction, id, fill, exact)
     return df.withColumn("optim_choice", optim_choice(selection.chosen()))
 
 

@@ -7,12 +7,14 @@ import math
 import random
 from decimal import Decimal
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from loanweave.operators import cutoff
 from loanweave.operators import measures as M
 from loanweave.operators import portfolio as P
+from loanweave.operators.knapsack_core import solve_core
 from loanweave.operators.sampling import oversample_minority, scale_features
 
 COLUMNS = "id bigint, expected_value decimal(20,4), exposure_at_risk decimal(20,4)"
@@ -283,3 +285,75 @@ def test_scaling(spark):
     rows = scale_features(df, ["a", "b"]).collect()
     assert [r.a_scaled for r in rows] == pytest.approx([-1.0, 0.0, 1.0])
     assert sum(r.b_scaled for r in rows) == pytest.approx(0.0)
+
+
+def best_value(rows, budget):
+    """Dynamic programming over whole weights."""
+    best = np.zeros(budget + 1, np.int64)
+    for _, v, w in rows:
+        if int(v) > 0 and 0 < int(w) <= budget:
+            best[int(w) :] = np.maximum(best[int(w) :], best[: len(best) - int(w)] + int(v))
+    return int(best[-1])
+
+
+def whole_rows(rng, n, kind):
+    def row(i):
+        w = rng.randrange(1, 200 if kind == "classes" else 900)
+        if kind == "classes":
+            return i, str(w * rng.choice((2, 3, 5))), str(w)
+        if kind == "close":
+            return i, str(w + 50 + rng.randrange(20)), str(w)
+        return i, str(rng.randrange(-90, 900)), str(w)
+
+    return [row(i) for i in range(n)]
+
+
+@pytest.mark.parametrize("seed", range(200))
+def test_core_is_solved_as_by_dynamic_programming(seed):
+    rng = random.Random(seed)
+    kind = ("any", "close", "classes")[seed % 3]
+    rows = whole_rows(rng, 1_500 if seed % 10 == 0 else rng.choice((1, 5, 40, 300)), kind)
+    wanted = sorted((r for r in rows if int(r[1]) > 0), key=lambda r: (-int(r[1]) / int(r[2]), r[0]))
+    budget = sum(int(r[2]) for r in rows) * 3 // 10
+    left, taken, blocked = budget, 0, None
+    for _, v, w in wanted:
+        if int(w) <= left:
+            left, taken = left - int(w), taken + int(v)
+        else:
+            blocked = blocked or (int(v), int(w))
+    if blocked is None:
+        return
+    price = blocked[0] / blocked[1]
+    found = solve_core([int(r[1]) for r in wanted], [int(r[2]) for r in wanted], price, budget, taken)
+    assert found.value == best_value(rows, budget) and found.proven, kind
+    if found.chosen:
+        assert sum(int(wanted[k][1]) for k in found.chosen) == found.value
+        assert sum(int(wanted[k][2]) for k in found.chosen) <= budget
+
+
+@pytest.mark.parametrize("kind", ["any", "close", "classes"])
+@pytest.mark.parametrize("core_rows", [2_000, 25])
+def test_exact_selection_is_the_best_one(spark, monkeypatch, kind, core_rows):
+    monkeypatch.setattr(P, "CORE_ROWS", core_rows)
+    rows = whole_rows(random.Random(11), 1_500, kind) + [(5_000, "7", "0"), (5_001, "0", "5"), (5_002, "9", "-3")]
+    df = portfolio(spark, rows).repartition(5)
+    budget = sum(int(w) for _, _, w in rows) * 3 // 10
+    plan, rule = P.plan_portfolio(df, exact=True), P.plan_portfolio(df)
+    ids, by_rule = ({x.id for x in df.filter(p.chosen()).collect()} for p in (plan, rule))
+    chosen = [r for r in rows if r[0] in ids]
+    reached = sum(int(v) for _, v, _ in chosen)
+    assert plan.used == sum(int(w) for _, _, w in chosen) <= budget
+    assert (5_000 in {r[0] for r in chosen}) and not {5_001, 5_002} & {r[0] for r in chosen}
+    best = best_value(rows, budget) + 7
+    assert reached >= sum(int(v) for i, v, _ in rows if i in by_rule)
+    assert reached == best or not plan.optimal
+    if core_rows == 2_000:
+        assert plan.optimal and reached == best
+    bound = P.portfolio_bound(df, plan).first()
+    assert bound.selected_value == reached and 0 <= bound.gap <= P.portfolio_bound(df, rule).first().gap
+
+
+def test_exact_selection_where_everything_fits(spark):
+    plan = P.plan_portfolio(portfolio(spark, [(1, "5", "1"), (2, "-1", "9")]), exact=True)
+    assert plan.optimal and plan.used == 1
+    assert P.plan_portfolio(portfolio(spark, []), exact=True).optimal
