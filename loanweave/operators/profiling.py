@@ -12,6 +12,9 @@ from ..session import stage
 from .cleaning import string_columns
 
 SLICES = 1024
+# Share of rows by which the values on either side of a quantile are off its place, and the sketch's accuracy, well within it.
+MARGIN = 0.001
+ACCURACY = 10_000
 
 
 def percent_text(share: Column) -> Column:
@@ -77,9 +80,17 @@ def split_sizes(df: DataFrame) -> DataFrame:
 
 
 def duplicate_audit(df: DataFrame) -> DataFrame:
-    """Rows and distinct rows in one pass; copies are combined before the shuffle."""
+    """Rows and distinct rows in one pass; copies are combined before the shuffle.
+
+    What is grouped and moved is a digest of a row, not the row: two 64-bit hashes of its columns from either end, and which
+    columns are NULL, as hashes pass over those. Rows count as equal if all of it agrees.
+    """
+    columns = [F.col(quoted(c)) for c in df.columns]
+    absent = F.concat(F.lit(""), *[F.when(c.isNull(), "1").otherwise("0") for c in columns])
+    digest = [F.xxhash64(*columns, F.lit(0)).alias("a"), F.xxhash64(F.lit(1), *columns[::-1], absent).alias("b")]
     return (
-        df.groupBy(*df.columns)
+        df.select(*digest)
+        .groupBy("a", "b")
         .agg(F.count("*").alias("copies"))
         .agg(
             F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint").alias("row_count"),
@@ -88,25 +99,64 @@ def duplicate_audit(df: DataFrame) -> DataFrame:
     )
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
     """Exact quantiles with linear interpolation: (variable, probability, quantile).
 
-    The values next to a quantile's place are searched for: each column's range is cut into slices, whose rows are
-    counted, and the slice that holds the place is cut again, until its values are equal. All columns and places share
-    one aggregation per step, of at most ``SLICES`` rows each and task; values are never shuffled. NULL and NaN
-    do not count. The ``percentile`` function would keep all distinct values of a column in one task's memory.
+    The values next to a quantile's place are searched for, all columns and places at once. A mergeable sketch, taken with
+    the counts in one pass over the stored columns, gives two values around each place; a second pass counts what lies below
+    them. What is between them is cut into slices, whose rows are counted, and the slice that holds
+    the place is cut again, until its values are equal: usually one pass. A step is one aggregation of at most ``SLICES``
+    rows for each place and task; values are never shuffled. NULL and NaN do not count. The ``percentile``
+    function would keep all distinct values of a column in one task's memory.
     """
-    spark = df.sparkSession
-    values = [F.col(c).cast("double") for c in columns]
-    stored = stage(df.select(*[F.nanvl(v, F.lit(None).cast("double")).alias(f"v{i}") for i, v in enumerate(values)]), "quantiles")
-    ends = [F.struct(*[f(f"v{i}").alias(n) for n, f in (("n", F.count), ("low", F.min), ("high", F.max))]) for i in range(len(columns))]
-    totals = stored.agg(F.array(*ends).alias("all")).first()["all"] if columns else []
+    stored, basics = _basics(df, columns, probabilities)
+    rows = [
+        (name, float(p), found[p]) for name, total, found in zip(columns, basics, _quantiles(stored, basics, probabilities)) for p in found
+    ]
+    return df.sparkSession.createDataFrame(rows, "variable string, probability double, quantile double")
+
+
+def _basics(df: DataFrame, columns: list[str], probabilities: list[float]):
+    """The columns as DOUBLE, stored, without NaN, and what one pass over them gives, one row per column."""
+    values = [F.nanvl(F.col(quoted(c)).cast("double"), F.lit(None).cast("double")).alias(f"v{i}") for i, c in enumerate(columns)]
+    stored = stage(df.select(*values), "quantiles")
+    around = [min(1.0, max(0.0, p + side * MARGIN)) for p in probabilities for side in (-1, 1)]
+
+    def basics(v: str) -> Column:
+        sketch = F.percentile_approx(v, around, ACCURACY) if around else F.array().cast("array<double>")
+        aggregates = (F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high"), F.avg(v).alias("mean"))
+        return F.struct(*aggregates, F.stddev_samp(v).alias("std"), sketch.alias("around"))
+
+    return stored, stored.agg(F.array(*[basics(v) for v in stored.columns]).alias("all")).first()["all"] if columns else []
+
+
+def _quantiles(stored: DataFrame, basics: list, probabilities: list[float]) -> list[dict[float, float]]:
+    """For every column, the quantile of each probability; none for a column without values."""
+    places = {
+        (i, p, rank): total["around"][2 * k : 2 * k + 2]
+        for i, total in enumerate(basics)
+        for k, p in enumerate(probabilities)
+        if total["n"]
+        for place in (p * (total["n"] - 1),)
+        for rank in {math.floor(place), math.ceil(place)}
+    }
+    ends = sorted({(i, end) for (i, _, _), around in places.items() for end in around})
+    counts = [F.struct(F.count_if(F.col(f"v{i}") < end).alias("below"), F.count_if(F.col(f"v{i}") <= end).alias("up_to")) for i, end in ends]
+    counts = dict(zip(ends, stored.agg(F.array(*counts).alias("n")).first()["n"] if ends else []))
     # Per wanted order statistic: the interval that holds it, and how many values lie below that.
     open_: dict[tuple[int, int], tuple[float, float, int]] = {}
-    for i, total in enumerate(totals):
-        for p in probabilities if total["n"] else ():
-            place = p * (total["n"] - 1)
-            open_ |= {(i, rank): (total["low"], total["high"], 0) for rank in (math.floor(place), math.ceil(place))}
+    for (i, _, rank), (low, high) in places.items():
+        # The sketch's error is far below the margin; should it not be, the search starts from the ends.
+        before = counts[i, low]["below"]
+        if not before <= rank:
+            low, before = basics[i]["low"], 0
+        if not rank < counts[i, high]["up_to"]:
+            high = basics[i]["high"]
+        open_[i, rank] = (low, high, before)
     found: dict[tuple[int, int], float] = {}
     while open_:
         found |= {key: low for key, (low, high, _) in open_.items() if low == high}
@@ -122,14 +172,13 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
                         open_[i, rank] = (row["least"], row["most"], before)
                         break
                     before += row["n"]
-    rows = []
-    for i, (name, total) in enumerate(zip(columns, totals)):
+    out: list[dict[float, float]] = [{} for _ in basics]
+    for i, total in enumerate(basics):
         for p in probabilities if total["n"] else ():
             place = p * (total["n"] - 1)
             lower, upper = found[i, math.floor(place)], found[i, math.ceil(place)]
-            part = place - math.floor(place)
-            rows.append((name, float(p), lower + part * (upper - lower) if lower != upper else lower))
-    return spark.createDataFrame(rows, "variable string, probability double, quantile double")
+            out[i][p] = lower + (place - math.floor(place)) * (upper - lower) if lower != upper else lower
+    return out
 
 
 def _slices(stored: DataFrame, intervals: list[tuple[int, float, float]]) -> DataFrame:
@@ -152,29 +201,16 @@ def _slices(stored: DataFrame, intervals: list[tuple[int, float, float]]) -> Dat
 
 
 def describe_selected(df: DataFrame, columns: list[str]) -> DataFrame:
-    """count, mean, std, min, quartiles and max of number columns, one row per column."""
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    basics = values.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(c).alias("variable"),
-                    F.count(c).alias("count"),
-                    F.avg(c).alias("mean"),
-                    F.stddev_samp(c).alias("std"),
-                    F.min(c).alias("min"),
-                    F.max(c).alias("max"),
-                )
-                for c in columns
-            ]
-        ).alias("basics")
-    ).select(F.inline("basics"))
+    """count, mean, std, min, quartiles and max of number columns, one row per column; NULL and NaN do not count.
+
+    ``df`` is read once: all of it comes from the stored columns.
+    """
     at = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-    quartiles = (
-        exact_quantiles(values, columns, list(at.values()))
-        .groupBy("variable")
-        .agg(*[F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(name) for name, p in at.items()])
-    )
-    # One row per described column on either side.
-    described = basics.join(F.broadcast(quartiles), "variable", "left")
-    return described.select("variable", "count", "mean", "std", "min", *at, "max")
+    stored, basics = _basics(df, columns, list(at.values()))
+    quantiles = _quantiles(stored, basics, list(at.values()))
+    rows = [
+        (name, b["n"], b["mean"], b["std"], b["low"], *(q.get(p) for p in at.values()), b["high"])
+        for name, b, q in zip(columns, basics, quantiles)
+    ]
+    numbers = ", ".join(f"{name} double" for name in ("mean", "std", "min", *at, "max"))
+    return df.sparkSession.createDataFrame(rows, f"variable string, count bigint, {numbers}")

@@ -149,6 +149,30 @@ def test_duplicate_audit(spark):
     assert tuple(P.duplicate_audit(df.limit(0)).first()) == (0, 0)
 
 
+def test_duplicate_audit_tells_null_and_empty_apart(spark):
+    rows = [(None, ""), ("", None), ("", ""), (None, None), ("a", None), (None, "a"), ("a", ""), ("ab", "c"), ("a", "bc")]
+    df = spark.createDataFrame(rows * 2, "a string, `b.c` string")
+    assert tuple(P.duplicate_audit(df).first()) == (18, 9)
+
+
+def test_describing_reads_the_source_once(spark, tmp_path):
+    spark.range(1000).selectExpr("id % 7 AS a", "double(id) AS b").write.parquet(str(tmp_path / "t"))
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    df = spark.read.parquet(str(tmp_path / "t"))
+    found = P.describe_selected(df.mapInArrow(counted, df.schema), ["a", "b"]).collect()
+    assert reads.value == 1000
+    assert [(r.variable, r["count"], r["min"], r.p25, r.p50, r.p75, r["max"]) for r in found] == [
+        ("a", 1000, 0, 1, 3, 5, 6),
+        ("b", 1000, 0, 249.75, 499.5, 749.25, 999),
+    ]
+
+
 @pytest.mark.parametrize("most_files", [0, 100])
 def test_ids_are_dense_fixed_and_keep_copies_apart(spark, monkeypatch, most_files):
     monkeypatch.setattr("loanweave.operators.identity.MOST_FILES", most_files)
