@@ -10,6 +10,7 @@ from loanweave.functions.decisions import predict_at_threshold
 from loanweave.functions.risk import risk_columns
 from loanweave.operators.portfolio import select_portfolio
 from loanweave.plans.optimisation import optimise_portfolio
+from loanweave.session import stage
 from loanweave.sources.order_loans import dirty_loans, loans_from_orders
 
 
@@ -30,9 +31,9 @@ def risk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def selected(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Loans with ``optim_choice`` and the columns that are asked for."""
+    """Loans with ``optim_choice`` and the columns that are asked for, which are stored once."""
     needed = dict.fromkeys(["id", "expected_value", "exposure_at_risk", *columns])
-    return select_portfolio(risk(spark, sf_dir).select(*needed))
+    return select_portfolio(stage(risk(spark, sf_dir).select(*needed), "rated-loans"))
 
 
 def optimised(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,9 +3,9 @@
 The ranking is a table (rank, id, value, weight): rows are taken by ``rank``, equal ranks
 by ``id``, until the weights pass the budget. Instead of a running sum over all rows, the
 ranking is cut into a few thousand slices whose weights are summed; the slice where the
-budget runs out is cut again, until one row is left. Each step is one aggregation with
-map-side combining, so neither a large class of equal ranks nor a hot id range ends up
-in one task, and one row per step reaches the driver.
+budget runs out is cut again, until a few rows are left, which the driver looks at one by one. Each step is one
+aggregation with map-side combining, so neither a large class of equal ranks nor a hot id range ends up
+in one task, and one row per step reaches the driver, in the end at most ``FEW``.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ SUM = "decimal(38,6)"
 # For numbers that arrive as DOUBLE, such as a model's PD.
 FINE_AMOUNT = "decimal(30,15)"
 SLICES = 4096
+# Rows of a slice up to which it is not cut again.
+FEW = 5_000
 
 
 @dataclass(frozen=True)
@@ -58,6 +60,7 @@ def first_over(rows: DataFrame, column: str, low: int, high: int, budget: Decima
         .groupBy((F.shiftright(F.col(column), bits) - F.lit(low >> bits)).alias("slice"))
         .agg(
             F.sum("weight").alias("weight"),
+            F.count("*").alias("n"),
             F.max("value").alias("value"),
             F.min(column).alias("low"),
             F.max(column).alias("high"),
@@ -85,13 +88,26 @@ def find_cut(rows: DataFrame, low: int, high: int, budget: Decimal) -> tuple[Cut
         return None, left
     left -= place["upto"] - place["weight"]
     while place["low"] != place["high"]:
+        if place["n"] <= FEW:
+            return _first_row_over(rows.filter(F.col("rank").between(place["low"], place["high"])), left)
         place = first_over(rows, "rank", place["low"], place["high"], left)
         left -= place["upto"] - place["weight"]
     rank = place["low"]
     same_class = rows.filter(F.col("rank") == rank)
     low, high = place["first_id"], place["last_id"]
     while low != high:
+        if place["n"] <= FEW:
+            return _first_row_over(same_class.filter(F.col("id").between(low, high)), left)
         place = first_over(same_class, "id", low, high, left)
         left -= place["upto"] - place["weight"]
         low, high = place["low"], place["high"]
     return Cut(rank, low, place["value"], place["weight"]), left
+
+
+def _first_row_over(rows: DataFrame, left: Decimal) -> tuple[Cut, Decimal]:
+    """The same for a few rows, of which one is known not to fit."""
+    for row in sorted(rows.select("rank", "id", "value", "weight").collect(), key=lambda r: (r["rank"], r["id"])):
+        if row["weight"] > left:
+            return Cut(**row.asDict()), left
+        left -= row["weight"]
+    raise ValueError("the ranking has changed while it was read")

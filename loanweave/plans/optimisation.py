@@ -9,15 +9,21 @@ from ..functions.fixed_values import AS_DOUBLE, BUDGET_FRACTION, OPTIMISED_TABLE
 from ..functions.risk import risk_columns
 from ..operators.identity import loan_id
 from ..operators.portfolio import select_portfolio
+from ..session import stage
 from ..sources.tables import DEFAULT_FORMAT, publish_gold, table_path
 
 def optimise_portfolio(
     loans: DataFrame, budget_fraction: str | float = BUDGET_FRACTION, id: str = "id"
 ) -> DataFrame:
-    """Risk columns, the selection, and the texts reports filter by. Money stays decimal."""
+    """Risk columns, the selection, and the texts reports filter by. Money stays decimal.
+
+    Loans with their risk columns are stored once: the ranking and all that follows read these columns, so the
+    source is scanned once and no amount is computed anew wherever the rule names it.
+    """
     if id not in loans.columns:
         loans = loan_id(loans, out=id)
-    chosen = select_portfolio(risk_columns(loans), budget_fraction=budget_fraction, id=id)
+    rated = stage(risk_columns(loans), "rated-loans")
+    chosen = select_portfolio(rated, budget_fraction=budget_fraction, id=id)
     return chosen.withColumns({"portfolio_type": portfolio_type(), "credit_risk_niveau": credit_risk_level()})
 
 
