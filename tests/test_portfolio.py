@@ -274,6 +274,22 @@ def test_a_class_of_one_row_is_repeated_in_chunks(spark, chunk):
     assert out.count() == 200
 
 
+@pytest.mark.parametrize("last_rows", [5, 100_000])
+def test_one_search_draws_for_all_classes(spark, monkeypatch, last_rows):
+    monkeypatch.setattr("loanweave.operators.sampling.LAST_ROWS", last_rows)
+    monkeypatch.setattr("loanweave.operators.sampling.SLICES", 8)
+
+    def jobs(classes):
+        group = f"classes-{classes}-{last_rows}"
+        rows = [(k * 1000 + i, str(k) if k else None) for k in range(classes) for i in range(40 + 7 * k)]
+        spark.sparkContext.setJobGroup(group, group)
+        out = oversample_minority(spark.createDataFrame(rows, "id bigint, label string")).groupBy("label").count().collect()
+        assert {r["count"] for r in out} == {40 + 7 * (classes - 1)} and len(out) == classes
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert jobs(12) <= jobs(3) + 12
+
+
 def test_a_label_with_very_many_values_is_refused(spark, monkeypatch):
     monkeypatch.setattr("loanweave.operators.sampling.MOST_CLASSES", 3)
     with pytest.raises(ValueError, match="more than 3 values"):

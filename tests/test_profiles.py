@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from loanweave.operators import evaluation as E
 from loanweave.operators import profiling as P
 from loanweave.operators.identity import loan_id, train_test_split, with_split
+from loanweave.operators import running_totals as running_totals_module
 from loanweave.operators.running_totals import running_totals
 
 
@@ -42,6 +43,17 @@ def test_running_totals_per_group(spark):
         assert ours == [(r[1], total, sums[-1]) for r, total in zip(own, sums)]
 
 
+def test_ranges_follow_the_rows(spark, monkeypatch):
+    assert [running_totals_module.range_count(n) for n in (0, 1, 100_000, 100_001, 10**6, 10**12)] == [1, 1, 1, 2, 10, 20_000]
+    monkeypatch.setattr(running_totals_module, "RANGE_ROWS", 10)
+    monkeypatch.setattr(running_totals_module, "BLOCK", 4)
+    df = spark.range(1, 501).select("id", (F.col("id") % 3).alias("g"), F.lit(1).alias("one"))
+    ranged = running_totals(df, [F.col("id")], ["id"])
+    assert {r.id: (r.cum_id, r.total_id) for r in ranged.collect()} == {k: (k * (k + 1) // 2, 125_250) for k in range(1, 501)}
+    grouped = running_totals(df, [F.col("id")], ["one"], group_by=["g"]).collect()
+    assert all(r.cum_one == sum(k % 3 == r.g for k in range(1, r.id + 1)) for r in grouped)
+
+
 def test_running_totals_of_nothing(spark):
     df = spark.createDataFrame([], "key bigint, n bigint")
     assert running_totals(df, [F.col("key")], ["n"]).count() == 0
