@@ -10,6 +10,7 @@ from loanweave.operators import portfolio as P
 from loanweave.operators.model import top_k
 from loanweave.operators.profiling import describe_selected
 from loanweave.plans import reports as R
+from loanweave.session import stage
 
 from . import inputs
 from .registry import query, with_bins, with_loans, with_risk, with_selection
@@ -31,6 +32,37 @@ def q_select_portfolio_prefix(spark, sf_dir):
     return P.select_portfolio(inputs.risk(spark, sf_dir), fill=False).select("id", "optim_choice")
 
 
+@query(
+    "select_portfolio_exact",
+    with_selection(
+        """SELECT count(*) AS loans, round(CAST(0.30 * sum(exposure_at_risk) AS DOUBLE), 4) AS allowed, true AS within_budget,
+        round(CAST(sum(expected_value) FILTER (optim_choice = 1) AS DOUBLE), 2) AS value_by_rule, true AS not_below_rule,
+        true AS not_above_bound FROM opt"""
+    ),
+)
+def q_select_portfolio_exact(spark, sf_dir):
+    """The best choice beside the ranked one: within the budget, worth as much at least, not above the bound."""
+    risk = stage(inputs.risk(spark, sf_dir).select("id", "expected_value", "exposure_at_risk"), "rated-loans")
+    rule, best = P.plan_portfolio(risk), P.plan_portfolio(risk, exact=True)
+    value, weight = F.col("expected_value"), F.col("exposure_at_risk")
+    sums = risk.agg(
+        F.count("*").alias("loans"),
+        (F.sum(weight) * F.lit("0.30").cast("decimal(9,6)")).alias("allowed"),
+        F.sum(F.when(rule.chosen(), value)).alias("rule"),
+        F.sum(F.when(best.chosen(), value)).alias("best"),
+        F.sum(F.when(best.chosen(), weight)).alias("used"),
+    )
+    bound = P.portfolio_bound(risk, best).first()["upper_bound"]
+    return sums.select(
+        "loans",
+        F.round(F.col("allowed").cast("double"), 4).alias("allowed"),
+        (F.col("used") <= F.col("allowed")).alias("within_budget"),
+        F.round(F.col("rule").cast("double"), 2).alias("value_by_rule"),
+        (F.col("best") >= F.col("rule")).alias("not_below_rule"),
+        (F.col("best").cast("double") <= bound * (1 + 1e-12)).alias("not_above_bound"),
+    )
+
+
 @query("optim_choice", with_selection("SELECT optim_choice, count(*) AS loans FROM opt GROUP BY optim_choice"))
 def q_optim_choice(spark, sf_dir):
     return inputs.selected(spark, sf_dir).groupBy("optim_choice").agg(F.count("*").alias("loans"))

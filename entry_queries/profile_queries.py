@@ -48,6 +48,24 @@ DISTRIBUTION = """SELECT variable, value, count(*) AS count,
     FROM long GROUP BY variable, value"""
 
 
+PROFILE = " UNION ALL ".join(
+    [f"SELECT 'missing' AS part, '{name}' AS variable, NULL AS value, count(*) FILTER ({name} IS NULL) AS n FROM loans" for name in LOAN_EXPRESSIONS]
+    + ["SELECT 'count', variable, value, count(*) FROM long GROUP BY variable, value"]
+    + [f"SELECT 'target {k}', variable, value, count(*) FILTER (credit_risk = {k}) FROM long GROUP BY variable, value" for k in (0, 1)]
+)
+
+
+@query("loan_profile", unpivoted(PROFILE))
+def q_loan_profile(spark, sf_dir):
+    """Missing values, distributions and the cross table from one reading."""
+    found = P.profile(inputs.loans(spark, sf_dir))
+    nothing = F.lit(None).cast("string")
+    parts = [found["missing_counts"].select(F.lit("missing").alias("part"), F.col("column_name").alias("variable"), nothing.alias("value"), F.col("missing_count").alias("n"))]
+    parts.append(found["category_distribution"].select(F.lit("count"), "variable", "value", "count"))
+    parts += [found["target_crosstab"].select(F.lit(f"target {k}"), "variable", "value", f"{k}") for k in (0, 1)]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
 @query("category_distribution", unpivoted(DISTRIBUTION))
 def q_category_distribution(spark, sf_dir):
     return P.category_distribution(inputs.loans(spark, sf_dir))

@@ -70,6 +70,48 @@ def target_crosstab(df: DataFrame, target: str = TARGET, columns: list[str] | No
     ).orderBy("variable", "value")
 
 
+def counted_values(df: DataFrame, target: str = TARGET, columns: list[str] | None = None) -> DataFrame:
+    """Counts of every column's values from one pass: (variable, is_text, value, missing, count, zeros, ones).
+
+    Text columns have a row per value, all others one row for their missing values and one for the rest. Rows
+    are unpivoted with a tag and combined before the shuffle.
+    """
+    texts = set(columns or string_columns(df, exclude=(target,)))
+    cells = []
+    for name, kind in df.dtypes:
+        column = F.col(quoted(name))
+        missing = column.isNull() | F.isnan(column) if kind in ("float", "double") else column.isNull()
+        value = column if name in texts else F.lit(None)
+        tags = (F.lit(name).alias("variable"), F.lit(name in texts).alias("is_text"), value.cast("string").alias("value"))
+        cells.append(F.struct(*tags, missing.alias("missing")))
+    goal = F.col(quoted(target))
+    tagged = df.select(goal.alias("_target"), F.inline(F.array(*cells)))
+    return tagged.groupBy("variable", "is_text", "value", "missing").agg(
+        F.count("*").alias("count"), F.count_if(F.col("_target") == 0).alias("zeros"), F.count_if(F.col("_target") == 1).alias("ones")
+    )
+
+
+def profile(df: DataFrame, target: str = TARGET, columns: list[str] | None = None) -> dict[str, DataFrame]:
+    """``missing_counts``, ``category_distribution`` and ``target_crosstab`` of a table that is read once for all three."""
+    counted = stage(counted_values(df, target, columns), "profile")
+    missing = counted.groupBy(F.col("variable").alias("column_name")).agg(
+        F.coalesce(F.sum(F.when(F.col("missing"), F.col("count"))), F.lit(0).cast("bigint")).alias("missing_count")
+    )
+    none = df.sparkSession.createDataFrame([(name,) for name in df.columns], "column_name string")
+    missing = none.join(missing, "column_name", "left").fillna(0, ["missing_count"])
+    values = counted.where("is_text")
+    rows = F.sum("count").over(Window.partitionBy("variable"))
+    shares = values.select("variable", "value", "count", percent_text(F.col("count") / rows).alias("percentage"))
+    total = F.col("zeros") + F.col("ones")
+    parts = [percent_text(F.try_divide(F.col(c), total)).alias(f"{label}_pct") for label, c in (("0", "zeros"), ("1", "ones"))]
+    crossed = values.select("variable", "value", F.col("zeros").alias("0"), F.col("ones").alias("1"), *parts)
+    return {
+        "missing_counts": missing,
+        "category_distribution": sorted_distribution(shares),
+        "target_crosstab": crossed.orderBy("variable", "value"),
+    }
+
+
 def class_balance(df: DataFrame, label: str = "label") -> DataFrame:
     return df.groupBy(label).agg(F.count("*").alias("count"))
 

@@ -167,6 +167,24 @@ def test_duplicate_audit_tells_null_and_empty_apart(spark):
     assert tuple(P.duplicate_audit(df).first()) == (18, 9)
 
 
+def test_profile_is_the_three_profiles_from_one_reading(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    rows = [(i, ("a", "b", None)[i % 3], "", float("nan") if i % 5 == 0 else 1.0, (0, 1, None)[i % 7 % 3]) for i in range(90)]
+    df = spark.createDataFrame(rows, "id bigint, t string, uv string, x double, credit_risk int")
+    found = P.profile(df.mapInArrow(counted, df.schema))
+    wanted = (P.missing_counts(df), P.category_distribution(df), P.target_crosstab(df))
+    for name, other in zip(("missing_counts", "category_distribution", "target_crosstab"), wanted):
+        got = [tuple(r) for r in found[name].collect()]
+        assert sorted(got, key=str) == sorted(map(tuple, other.collect()), key=str)
+    assert reads.value == 90
+
+
 def test_describing_reads_the_source_once(spark, tmp_path):
     spark.range(1000).selectExpr("id % 7 AS a", "double(id) AS b").write.parquet(str(tmp_path / "t"))
     reads = spark.sparkContext.accumulator(0)
