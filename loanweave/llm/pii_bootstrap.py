@@ -25,17 +25,20 @@ from loanweave.session import stage
 
 from .common import packed, unpacked
 
+# Where a run of letters or digits can begin: not inside one, as all places of a run fail alike, unless a match ends there.
+NAME_START = r"(?:(?<![A-Za-z0-9._%+-])|\G)"
+DIGITS_START = r"(?:(?<![0-9])|\G)"
 # The four kinds in their order, and how each looks.
 KINDS = ("email", "ip", "card", "phone")
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-    "ip": r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
+    "email": NAME_START + r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "ip": DIGITS_START + r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 # An expression that may be an identifier of some kind.
 INSTANCE = "instance"
-INSTANCE_PATTERN = r"\+?\(?[0-9][0-9\x20().-]*[0-9]|[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]*[A-Za-z0-9-]"
+INSTANCE_PATTERN = r"\+?\(?[0-9][0-9\x20().-]*[0-9]|" + NAME_START + r"[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]*[A-Za-z0-9-]"
 CONTEXT_CHARS = 48
 #: So many digits may be an identifier whatever stands between them.
 MANY_DIGITS = 7

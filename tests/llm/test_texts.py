@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import pytest
 from conftest import WORDS, docs
@@ -248,3 +249,16 @@ def test_stages_of_the_pipeline(spark):
         assert plain_spans(r["text"]) == [] and r["n_chars"] == len(r["text"])
     pieces = corpus_pipeline.STAGES[-1][1](spark, frames[-1], SF).collect()
     assert {p.doc_id for p in pieces} == {r["doc_id"] for r in masked}
+
+
+def test_patterns_are_linear_in_unbroken_runs(spark):
+    """A megabyte without white space, and matches that lie side by side."""
+    texts = ["a" * 1_000_000 + "@", "1" * 1_000_000, "x.y@z " + "b" * 500_000, "a@b.c_d@e.f..g@h-.i%j@k.l", "1.2.3.4.5.6.7.8 1.2.3.4"]
+    start = time.time()
+    found = P.find_personal_data(docs(spark, texts), ["text"]).collect()
+    assert time.time() - start < 60
+    spans = {r.doc.text[:30]: [(s["kind"], s["start"], s["end"]) for s in r.spans if s["base"]] for r in found}
+    for text in texts[3:]:
+        for kind, pattern in (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")):
+            wanted = [(kind, m.start(), m.end()) for m in re.finditer(pattern, text)]
+            assert [s for s in spans[text[:30]] if s[0] == kind] == wanted
