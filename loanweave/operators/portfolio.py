@@ -235,8 +235,8 @@ def plan_portfolio(
         F.min(F.when(wanted, F.col("rank"))).alias("low"),
         F.max(F.when(wanted, F.col("rank"))).alias("high"),
     ).first()
-    with localcontext() as exact:
-        exact.prec = 60
+    with localcontext() as context:
+        context.prec = 60
         total, demand = (totals[name] or Decimal(0) for name in ("weight", "wanted"))
         # Weights have six decimals, so what lies below the sixth cannot be spent.
         budget = (total * Decimal(str(budget_fraction))).quantize(Decimal("1e-6"), rounding=ROUND_FLOOR)
