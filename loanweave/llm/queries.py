@@ -10,6 +10,7 @@ from loanweave.session import stage
 from . import (
     bfd_shards,
     bin_slack,
+    character_references,
     ctw_scores,
     fill_in_middle,
     passage_chains,
@@ -67,9 +68,13 @@ def _sql_plain(html: str) -> str:
     text = f"regexp_replace({html}, {_sql_text(warc_derivatives.HIDDEN)}, ' ', 'g')"
     text = f"regexp_replace({text}, {_sql_text(warc_derivatives.BREAKS)}, chr(10), 'g')"
     text = f"regexp_replace({text}, {_sql_text(warc_derivatives.TAGS)}, '', 'g')"
-    for entity, character in warc_derivatives.ENTITIES:
-        text = f"replace({text}, {_sql_text(entity)}, {_sql_text(character)})"
-    return _sql_joined(text)
+    text = character_references.sql_resolved(text, "names")
+    return _sql_joined(f"replace({text}, chr(160), ' ')")
+
+
+def _sql_link(value: str) -> str:
+    text = character_references.sql_resolved(f"regexp_replace({value}, '^[\"'']|[\"'']$', '', 'g')", "names")
+    return f"regexp_replace({text}, '[\\t\\r\\n]', '', 'g')"
 
 
 def _sql_joined(text: str) -> str:
@@ -79,13 +84,13 @@ def _sql_joined(text: str) -> str:
 
 
 ORACLES["op1_warc_derivatives"] = f"""
-WITH nl AS (SELECT chr(13) || chr(10) AS nl),
+WITH nl AS (SELECT chr(13) || chr(10) AS nl, {character_references.sql_names()} AS names),
 source AS (SELECT page_id, coalesce(url, '') AS target_uri, coalesce(html, '') AS payload FROM pages),
-parsed AS (SELECT source.*, nl, {_sql_id("'response'", "coalesce(CAST(page_id AS VARCHAR), '')", "target_uri", "payload")} AS refers_to,
+parsed AS (SELECT source.*, nl, names, {_sql_id("'response'", "coalesce(CAST(page_id AS VARCHAR), '')", "target_uri", "payload")} AS refers_to,
   concat_ws(nl, 'HTTP/1.1 200 OK', 'Content-Type: text/html; charset=utf-8', 'Content-Length: ' || strlen(payload)) AS source_headers,
   'sha256:' || sha256(payload) AS source_payload_digest, {_sql_plain("payload")} AS body,
   replace({_sql_plain(f"regexp_extract(payload, {_sql_text(warc_derivatives.TITLE)}, 1)")}, chr(10), ' ') AS title,
-  regexp_extract_all(payload, {_sql_text(warc_derivatives.LINK)}, 1) AS links FROM source, nl),
+  list_transform(regexp_extract_all(payload, {_sql_text(warc_derivatives.LINK)}, 1), lambda v: {_sql_link('v')}) AS links FROM source, nl),
 fielded AS (SELECT *, array_to_string(list_concat(
     list_transform(string_split(source_headers, nl), lambda h: 'source-header: ' || h),
     ['source-payload-digest: ' || source_payload_digest, 'source-payload-length: ' || strlen(payload), 'title: ' || title],

@@ -5,7 +5,8 @@ payload; each names the other as concurrent. Ids follow from the type, the respo
 repeated run makes the same records. One pass without a shuffle, built-in functions only.
 
 A text leaves out comments, scripts and styles (unclosed ones run to the end), turns tags of blocks into line
-breaks, drops other tags, resolves the entities below and joins white space. Patterns are linear in the text.
+breaks, drops other tags, resolves character references, and joins white space (a no-break space counts as a space). Links are
+``href`` in double, single or no quotes, in the order of the text. Patterns are linear in the text.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .character_references import resolved
+
 VERSION = "WARC/1.1"
 HIDDEN = (
     r"(?is)<!--.*?(?:-->|\z)"
@@ -24,10 +27,11 @@ BREAKS = (
     r"|blockquote)(?:[ \t\r\n\f/][^>]*)?(?:>|\z)"
 )
 TAGS = r"</?[A-Za-z!][^>]*(?:>|\z)"
-# Entities in the order in which they are resolved, the ampersand last.
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 TITLE = r"(?is)<title(?:[ \t\r\n\f/][^>]*)?>(.*?)(?:</title[ \t\r\n\f/>]|\z)"
-LINK = r'(?i)<a[ \t\r\n\f][^>]*?href[ \t\r\n\f]*=[ \t\r\n\f]*"([^"<>]*)"'
+LINK = (
+    r"""(?i)<a[ \t\r\n\f](?:[^<>]*?[ \t\r\n\f"'/])?href[ \t\r\n\f]*=[ \t\r\n\f]*("""
+    r""""[^"<>]*"|'[^'<>]*'|[^ \t\r\n\f"'<>=`]+)"""
+)
 END = "\r\n"
 
 
@@ -35,9 +39,12 @@ def plain_text(html: Column) -> Column:
     text = F.regexp_replace(html, HIDDEN, " ")
     text = F.regexp_replace(text, BREAKS, "\n")
     text = F.regexp_replace(text, TAGS, "")
-    for entity, character in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(character))
-    return _joined(text)
+    return _joined(F.translate(resolved(text), "\u00a0", " "))
+
+
+def link_target(value: Column) -> Column:
+    """An attribute's value without its quotes, references resolved, without tabs and line breaks."""
+    return F.regexp_replace(resolved(F.regexp_replace(value, "^[\"']|[\"']$", "")), r"[\t\r\n]", "")
 
 
 def _joined(text: Column) -> Column:
@@ -97,7 +104,7 @@ def derivatives(source: DataFrame, keep: list[str]) -> DataFrame:
         digest(F.col("payload")).alias("source_payload_digest"),
         plain_text(F.col("payload")).alias("text"),
         F.replace(plain_text(F.regexp_extract("payload", TITLE, 1)), F.lit("\n"), F.lit(" ")).alias("title"),
-        F.regexp_extract_all("payload", F.lit(LINK), F.lit(1)).alias("links"),
+        F.transform(F.regexp_extract_all("payload", F.lit(LINK), F.lit(1)), link_target).alias("links"),
     )
     fields = F.array(
         F.concat(F.lit("source-payload-digest: "), F.col("source_payload_digest")),
