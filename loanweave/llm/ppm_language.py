@@ -7,13 +7,14 @@ so the cost of a byte depends on its ``ORDER`` + 1 bytes only, and a text's code
 language is a sum over its bytes. No exclusion of bytes that longer contexts have ruled out.
 
 Learning reads about ``SAMPLE`` labelled documents per language, whole, picked by a hash of id and text with
-the chance ``SAMPLE`` / number of labelled documents, for at most ``LANGUAGES`` labels (the most frequent); both are parameters. The model is bounded by the bytes
-of that sample and is the only thing that is broadcast. Every document is predicted, by whole text.
+the chance ``SAMPLE`` / number of labelled documents (a parameter). Every label is learned: labels are dealt out to blocks of
+about ``LANGUAGES`` by a hash, a block's model is bounded by the bytes of its labels' samples and is broadcast alone, and each
+block is one more pass that keeps the best label so far. Every document is predicted, by whole text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,13 +22,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import GramCosts, chunks, grams, map_texts, slices
+from loanweave.session import stage
+
+from .common import GramCosts, chunks, grams, map_texts, packed, slices
 
 ORDER = 3
 SAMPLE = 500
-LANGUAGES = 256
+LANGUAGES = 128
 UNDETERMINED = "und"
 START = b"\0" * ORDER
+BEST = "struct<best:string,mass:double,bits:double>"
 
 
 def remainder(id_col: str, divisor: int):
@@ -104,15 +108,28 @@ class Model:
         return out
 
 
-def learn(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """The model of the labelled documents that are not held out; None where there are none."""
+def learn(docs: DataFrame, sample: int = SAMPLE, languages: int = LANGUAGES) -> Iterator[Model]:
+    """The models of the labelled documents that are not held out, one for each block of labels; none where there are none.
+
+    A block is read from the tables when it is asked for, so the driver holds two models at a time.
+    """
     labelled = docs.select("doc_id", "lang", "text").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.coalesce(remainder("doc_id", 4), F.lit(0)) != 2)
     )
-    frequent = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("of")).orderBy(F.desc("of"), "lang").limit(LANGUAGES)
-    # A hash of id and text, spread evenly over 0 to 2^63; one row per language is broadcast.
+    frequent = stage(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("of")), "labels")
+    # A hash of id and text, spread evenly over 0 to 2^63.
     draw = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 1)
-    chosen = labelled.join(F.broadcast(frequent), "lang").where(draw <= F.lit(float(sample)) / F.col("of") * F.lit(2.0**63))
+    blocks = -(-frequent.count() // languages)
+    for block in range(blocks):
+        own = frequent.where(F.pmod(F.xxhash64("lang"), F.lit(blocks)) == block)
+        chosen = labelled.join(own, "lang").where(draw <= F.lit(float(sample)) / F.col("of") * F.lit(2.0**63))
+        counts = _counted(chosen)
+        if len(counts):
+            yield Model(counts)
+
+
+def _counted(chosen: DataFrame):
+    """Distinct grams of the chosen texts by label, on the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -127,21 +144,44 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
                     )
 
     counted = chosen.select("lang", F.col("text").cast("binary")).mapInArrow(count, "lang string, gram bigint, n bigint")
-    counts = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
-    return Model(counts) if len(counts) else None
+    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
 
 
-def predict(docs: DataFrame, keep: list[str], model: Model | None) -> DataFrame:
+def predict(docs: DataFrame, keep: list[str], models: Iterable[Model]) -> DataFrame:
     """``doc`` (the columns ``keep``), ``lang_pred``, ``score`` and ``bits_per_byte``.
 
     ``und`` with score 0 for null texts, texts without a letter, and all texts if nothing could be learned.
-    The score is the best language's share when code lengths are softened by the square root of
-    the text's length. Equal code lengths: the first label in alphabetical order.
+    The score is the best language's share among all labels of all models when code lengths are softened by the square root
+    of the text's length. Equal code lengths: the first label in alphabetical order.
     """
-    if model is None:
-        none = docs.select(F.struct(*[F.col(c) for c in keep]).alias("doc"))
-        return none.select("doc", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("bits_per_byte"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    size = F.octet_length(F.coalesce("text", F.lit("")))
+    rows = docs.select(
+        packed(docs, keep),
+        F.struct(letters.alias("letters"), F.greatest(size, F.lit(1)).cast("double").alias("size")).alias("known"),
+        F.lit(None).cast(BEST).alias("found"),
+        "text",
+    )
+    models = iter(models)
+    model = next(models, None)
+    while model is not None:
+        following = next(models, None)
+        rows = _better(rows, model, ["doc", "known", "found", *(["text"] if following else [])])
+        # Passes before the last are written, so that a task holds one model.
+        rows, model = (stage(rows, "languages") if following else rows), following
+    found, known = F.col("found"), F.col("known")
+    told = known.letters & found.isNotNull()
+    return rows.select(
+        "doc",
+        F.when(told, found.best).otherwise(UNDETERMINED).alias("lang_pred"),
+        F.when(told, 1 / found.mass).otherwise(0.0).alias("score"),
+        F.coalesce(found.bits / known["size"], F.lit(0.0)).alias("bits_per_byte"),
+    )
+
+
+def _better(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+    """``rows`` with what is found so far compared with one more model's labels."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
     tables: list[GramCosts] = []
 
     def run(texts: list[bytes | None]) -> dict[str, object]:
@@ -151,28 +191,26 @@ def predict(docs: DataFrame, keep: list[str], model: Model | None) -> DataFrame:
         bodies = [(t or b"").lower() for t in texts]
         bits = tables[0].sums(bodies, START)
         size = np.maximum(1, np.fromiter(map(len, bodies), np.int64, len(bodies)))
-        best = bits.argmin(axis=1)
         least = bits.min(axis=1)
         share = np.exp2((least[:, None] - bits) / np.sqrt(size)[:, None])
-        return {
-            "best": [model.languages[k] for k in best],
-            "share": 1 / share.sum(axis=1),
-            "bits_per_byte": least / size,
-        }
-
-    found = map_texts(
-        docs.withColumn("_letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))),
-        [*keep, "_letters"],
-        run,
-        {"best": "string", "share": "double", "bits_per_byte": "double"},
-    )
-    letters = F.col("doc._letters")
-    return found.select(
-        "doc",
-        F.when(letters, F.col("best")).otherwise(UNDETERMINED).alias("lang_pred"),
-        F.when(letters, F.col("share")).otherwise(0.0).alias("score"),
-        "bits_per_byte",
+        return {"best": [model.languages[k] for k in bits.argmin(axis=1)], "mass": share.sum(axis=1), "bits": least}
+
+    made = map_texts(rows, keep, run, {"best": "string", "mass": "double", "bits": "double"})
+    before, known = F.col("doc.found"), F.col("doc.known")
+
+    def kept(bits, mass):
+        """Shares are sums over labels against the best one; against a better one they shrink."""
+        return mass * F.pow(F.lit(2.0), (F.least(before.bits, F.col("bits")) - bits) / F.sqrt(known["size"]))
+
+    first = (before.bits < F.col("bits")) | ((before.bits == F.col("bits")) & (before.best < F.col("best")))
+    both = F.struct(
+        F.when(first, before.best).otherwise(F.col("best")).alias("best"),
+        (kept(before.bits, before.mass) + kept(F.col("bits"), F.col("mass"))).alias("mass"),
+        F.least(before.bits, F.col("bits")).alias("bits"),
     )
+    alone = F.struct("best", "mass", "bits")
+    found = F.when(before.isNull(), alone).otherwise(both).alias("found")
+    return made.select(*[found if c == "found" else F.col("doc").getField(c).alias(c) for c in keep])
 
 
 def keep_recognised(docs: DataFrame, least_score: float = 0.5) -> DataFrame:

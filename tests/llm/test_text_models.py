@@ -78,6 +78,27 @@ def test_texts_without_letters_are_undetermined(spark):
     assert {r.lang_pred for r in L.predict(unlabelled, ["doc_id"], L.learn(unlabelled)).collect()} == {"und"}
 
 
+def test_every_label_is_learned_in_blocks(spark):
+    rng = random.Random(8)
+    rows = []
+    for k in range(300):
+        words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(6)]
+        rows += [(f"l{k:03d}", " ".join(rng.choices(words, k=30))) for _ in range(4)]
+    frame = docs(spark, [text for _, text in rows] + ["", None]).drop("lang").withColumn("_letters", F.lit(1))
+    labels = spark.createDataFrame([(i, lang) for i, (lang, _) in enumerate(rows)], "doc_id bigint, lang string")
+    frame = frame.join(labels, "doc_id", "left")
+
+    def found(languages):
+        return {r.doc.doc_id: r for r in L.predict(frame, ["doc_id", "_letters"], L.learn(frame, 10**6, languages)).collect()}
+
+    blocks, whole = found(80), found(1000)
+    assert len(list(L.learn(frame, 10**6, 80))) == 4 and len(blocks) == len(rows) + 2
+    assert all(blocks[i].lang_pred == whole[i].lang_pred and blocks[i].score == pytest.approx(whole[i].score) for i in whole)
+    assert all(blocks[i].bits_per_byte == pytest.approx(whole[i].bits_per_byte) for i in whole)
+    assert np.mean([blocks[i].lang_pred == lang for i, (lang, _) in enumerate(rows)]) > 0.95
+    assert {r.lang_pred for r in whole.values()} >= {lang for lang, _ in rows[::4]}
+
+
 def kt(zeros: int, ones: int) -> float:
     p = 1.0
     for i in range(zeros):
