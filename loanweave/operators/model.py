@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import GeneralizedLinearRegression
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +20,10 @@ from ..functions.decisions import predict_at_threshold, prob_positive
 from ..functions.fixed_values import MAX_ITERATIONS, RISK_DOWN, RISK_UP, SEED
 from .profiling import long_values
 
+# The Gram matrix has half the square of this many cells; the built-in steps allow no more.
+MOST_FEATURES = 4096
+TOLERANCE = 1e-8
+
 
 def index_categories(columns: list[str]) -> StringIndexer:
     """Text to index, most frequent first; values not seen in training get their own index."""
@@ -39,11 +48,67 @@ def feature_stages(columns: list[str]) -> list:
 def train_pd_model(
     train: DataFrame, features: list[str], label: str = "label", max_iter: int = MAX_ITERATIONS
 ) -> PipelineModel:
-    """Logistic regression without penalty on the encoded texts."""
-    regression = LogisticRegression(
-        featuresCol="features", labelCol=label, maxIter=max_iter, regParam=0.0, elasticNetParam=0.0
+    """Logistic regression without penalty on the encoded texts.
+
+    Newton steps: each one is a single aggregation of the weighted Gram matrix, and a handful is enough. Where they do not
+    settle within ``max_iter`` (a category that is all good or all bad), or the matrix would be too
+    large, the fit is the iterative one.
+    """
+    encoder = Pipeline(stages=feature_stages(features)).fit(train)
+    encoded = encoder.transform(train).select(label, "features").persist()
+    fitted = _newton(encoded, [len(labels) for labels in encoder.stages[0].labelsArray], label, max_iter)
+    if fitted is None:
+        fitted = LogisticRegression(
+            featuresCol="features", labelCol=label, maxIter=max_iter, regParam=0.0, elasticNetParam=0.0
+        ).fit(encoded)
+    encoded.unpersist()
+    return PipelineModel(stages=[*encoder.stages, fitted])
+
+
+def _newton(encoded: DataFrame, sizes: list[int], label: str, max_iter: int) -> LogisticRegressionModel | None:
+    """The fit by Newton steps, or None where they do not settle.
+
+    Indicators of a variable without missing values add up to one, so its first slot is left out of the fit. Of all equal
+    solutions the one with the smallest coefficients on standardised features is given.
+    """
+    counts = encoded.select(F.count("*").alias("n"), Summarizer.numNonZeros(F.col("features")).alias("seen")).first()
+    if not counts.n:
+        return None
+    rows, seen = counts.n, counts.seen.toArray()
+    variables = [range(end - size, end) for size, end in zip(sizes, np.cumsum(sizes).tolist())]
+    whole = [slots for slots in variables if len(slots) and sum(seen[list(slots)]) == rows]
+    reference = {slots[0] for slots in whole}
+    kept = [slot for slot in range(sum(sizes)) if slot not in reference]
+    if not kept or len(kept) > MOST_FEATURES:
+        return None
+    sliced = VectorSlicer(inputCol="features", outputCol="sliced", indices=kept).transform(encoded)
+    steps = GeneralizedLinearRegression(
+        family="binomial", link="logit", featuresCol="sliced", labelCol=label, maxIter=max_iter, tol=TOLERANCE
+    ).fit(sliced)
+    weights = np.zeros(sum(sizes))
+    weights[kept] = steps.coefficients.toArray()
+    if steps.summary.numIterations >= max_iter or not np.isfinite(weights).all():
+        return None
+    intercept = steps.intercept
+    for slots in whole:
+        own, share = list(slots), seen[list(slots)] / rows
+        spread = share * (1 - share)
+        shift = (spread * weights[own]).sum() / spread.sum() if spread.sum() else 0.0
+        weights[own] -= shift
+        intercept += shift
+    return _logistic_model(weights, float(intercept), label)
+
+
+def _logistic_model(weights: np.ndarray, intercept: float, label: str) -> LogisticRegressionModel:
+    """A model of given coefficients, as the built-in learner makes it."""
+    made = LogisticRegressionModel._new_java_obj(
+        "org.apache.spark.ml.classification.LogisticRegressionModel",
+        f"LogisticRegression_{uuid.uuid4().hex[:12]}",
+        Vectors.dense(weights),
+        intercept,
     )
-    return Pipeline(stages=[*feature_stages(features), regression]).fit(train)
+    made.set(made.labelCol(), label)
+    return LogisticRegressionModel(made)
 
 
 def predict(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
