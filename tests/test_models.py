@@ -5,7 +5,6 @@ from __future__ import annotations
 import random
 
 import pytest
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -48,37 +47,6 @@ def test_every_coefficient_has_its_name(model, loans):
     assert sorted(r.rank for r in table.values()) == list(range(1, 9))
 
 
-def iterative(encoded):
-    return LogisticRegression(maxIter=500, tol=1e-14, regParam=0.0).fit(encoded)
-
-
-@pytest.mark.parametrize("missing", [False, True])
-def test_newton_steps_find_the_iterative_fit(spark, loans, missing):
-    rows = loans.withColumn("size", F.when(F.col("id") % 7 > 0, F.col("size"))) if missing else loans
-    tracker = spark.sparkContext.statusTracker()
-
-    def jobs(fit, name):
-        spark.sparkContext.setJobGroup(name, name)
-        made = fit()
-        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-        return made, len(tracker.getJobIdsForGroup(name))
-
-    model, few = jobs(lambda: M.train_pd_model(rows, FEATURES), f"newton{missing}")
-    encoded = model.transform(rows).select("label", "features").persist()
-    other, many = jobs(lambda: iterative(encoded), f"iterative{missing}")
-    assert model.stages[-1].coefficients.toArray() == pytest.approx(other.coefficients.toArray(), abs=1e-6)
-    assert model.stages[-1].intercept == pytest.approx(other.intercept, abs=1e-6)
-    # Three jobs learn the labels and count the slots.
-    assert few - 3 < many
-
-
-def test_a_category_without_bad_loans_still_has_a_fit(loans):
-    rows = loans.withColumn("label", F.when(F.col("history") == "a", 0.0).otherwise(F.col("label")))
-    scored = M.train_pd_model(rows, FEATURES).transform(rows).select("history", prob_positive().alias("p")).groupBy("history")
-    found = {r.history: r.p for r in scored.agg(F.avg("p").alias("p")).collect()}
-    assert found["a"] < 0.01 < found["b"] < found["c"]
-
-
 def test_scorecard_scores_like_the_model(model, loans):
     card = M.scorecard_from_model(model, loans)
     both = M.scorecard_score(model.transform(loans).withColumn("expected", prob_positive()).drop("prediction"), card)
