@@ -175,6 +175,20 @@ def test_a_passage_is_found_behind_shorter_ones_that_hold_its_seeds(spark, parts
     assert {d for d, _ in whole} == {5, 7} and whole <= {(5, 2), (7, 5), (7, 2)}
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_copies_are_tied_to_the_smallest_id_only(spark, parts):
+    rng = random.Random(9)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    copied, shared = fresh(90), fresh(60)
+    kinds = [copied + shared, fresh(120), shared + fresh(80)]
+    texts = [" ".join(kinds[k]) + end for k, end in ((1, ""), (0, "."), (0, " !"), (2, ""), (0, ""), (0, "\n"), (1, "?"))]
+    rows = C.shared_passages(docs(spark, texts).repartition(parts)).collect()
+    copies = sorted((r.doc_id, r.other_doc_id, r.start_word, r.end_word, r.other_end_word, r.n_equal, r.identity) for r in rows if r.copy)
+    assert copies == [(2, 1, 0, 150, 150, 150, 1.0), (4, 1, 0, 150, 150, 150, 1.0), (5, 1, 0, 150, 150, 150, 1.0), (6, 0, 0, 120, 120, 120, 1.0)]
+    (passage,) = (r for r in rows if not r.copy)
+    assert {passage.doc_id, passage.other_doc_id} == {1, 3} and passage.n_equal == 60
+
+
 def test_equal_windows_have_equal_hashes_and_seed_places():
     import numpy as np
 
