@@ -41,6 +41,41 @@ def test_benchmark_in_blocks_changes_nothing(spark):
     assert all(not items for d, _, _, items in rows[0] if d % 3 == 0)
 
 
+def test_search_of_a_benchmark_holds_few_bytes_each():
+    rng = random.Random(6)
+    words = [f"{rng.choice(WORDS)}{k}" for k in range(4000)]
+    items = [(f"i{k}", " ".join(rng.choices(words, k=400)).encode()) for k in range(6000)]
+    items += [(f"copy{k}", items[0][1]) for k in range(500)]
+    size = sum(len(text) for _, text in items)
+    assert size > 15_000_000
+    (search,) = W.searches(items)
+    assert search.nbytes < 10 * size
+    text = W.words_of(b"before " + items[77][1][:900])
+    found = list(search.find(text))
+    # The last word is cut.
+    assert [a for a, _, _ in found] == list(range(1, len(text) - 13)) and all(b - a == 13 and i == {"i77"} for a, b, i in found)
+    (hit,) = search.find(W.words_of(items[0][1])[20:33])
+    assert hit[2] == {"i0", *(f"copy{k}" for k in range(500))}
+
+
+@pytest.mark.parametrize("size", [W.PART - 1, W.PART, W.PART + 1, 3 * W.PART])
+def test_words_of_any_length_are_told_apart(size):
+    long = b"x" * size
+    search = W.WuManber({(b"a", long, b"b"): {"one"}, (b"a", long + b"y", b"b"): {"two"}})
+    text = [b"c", b"a", long, b"b", b"a", long + b"y", b"b", b"a", long + b"z", b"b"]
+    assert list(search.find(text)) == [(1, 4, {"one"}), (4, 7, {"two"})]
+    assert W.spaced(long + b"..,\n" + b"A") == long.lower() + b" a " and W.spaced(b" .\n") == W.spaced(None) == b""
+
+
+def test_passages_do_not_cross_texts(spark):
+    bench = spark.createDataFrame([("a", "one two three"), ("b", " ".join(WORDS[:13]))], "item_id string, text string")
+    texts = ["one two", "three one two three", " ".join(WORDS[:7]), " ".join(WORDS[7:13]), "", None, "One, TWO; three!"]
+    for size in (10**6, 1):
+        found = W.benchmark_passages(docs(spark, texts).coalesce(1), bench, ["doc_id"], block_bytes=size).collect()
+        rows = {r.doc.doc_id: (r.n_words, list(r.spans), list(r["items"])) for r in found}
+        assert rows == {0: (2, [], []), 1: (4, [1, 4], ["a"]), 2: (7, [], []), 3: (6, [], []), 4: (0, [], []), 5: (0, [], []), 6: (3, [0, 3], ["a"])}
+
+
 def test_gray_rank():
     codes = np.arange(256, dtype=np.uint64)
     gray = codes ^ (codes >> np.uint64(1))
