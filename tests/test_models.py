@@ -47,6 +47,13 @@ def test_every_coefficient_has_its_name(model, loans):
     assert sorted(r.rank for r in table.values()) == list(range(1, 9))
 
 
+def test_fit_meets_its_likelihood_equations(model, loans):
+    scored = model.transform(loans).withColumn("p1", prob_positive())
+    for feature in FEATURES:
+        sums = scored.groupBy(feature).agg(F.abs(F.sum("p1") - F.sum("label")).alias("off"), F.count("*").alias("n"))
+        assert sums.agg(F.max(F.col("off") / F.col("n"))).first()[0] < 1e-7
+
+
 def test_scorecard_scores_like_the_model(model, loans):
     card = M.scorecard_from_model(model, loans)
     both = M.scorecard_score(model.transform(loans).withColumn("expected", prob_positive()).drop("prediction"), card)
