@@ -5,9 +5,11 @@ node a Krichevsky-Trofimov estimate is mixed half and half with the product over
 all depths up to ``DEPTH`` take part with weights that the data give. Counts are taken over all
 learning texts and then frozen; a byte's code length depends on its ``DEPTH`` + 1 bytes only.
 
-Counts of all byte strings are a distributed aggregation and follow the input. The tree that is
-broadcast has at most ``NODES`` contexts, those seen most often; what a node has seen behind contexts that
-are not in the tree is one more child of it, so no count is left out.
+The tree has every context of the learning texts. Counts of all byte strings are a distributed aggregation; the
+strings of the other texts take part with a count of zero. Contexts with equal last ``SPLIT`` bytes are weighted
+together in one task; only sums for shorter contexts, whose number is fixed, meet on the driver. So every string
+of the texts gets its exact cost. The costs of the strings learned most often (at most ``NODES``) are broadcast; all
+others meet their costs in a join.
 
 The base score needs every word's count. The most frequent words (at most ``FREQUENT``) are broadcast;
 all other words of a text meet their counts in a join.
@@ -26,10 +28,14 @@ from pyspark.sql import functions as F
 
 from loanweave.session import stage
 
-from .common import GramCosts, chunks, grams, map_texts, slices
+from .common import GramCosts, chunks, grams, inside, map_texts, slices
 
 DEPTH = 5
-NODES = 1 << 15
+#: Contexts of this length are weighted whole in one task; there are at most 65,536 of them.
+SPLIT = 2
+#: About so many strings are weighted at once.
+WEIGHED = 1 << 18
+NODES = 1 << 20
 FREQUENT = 200_000
 #: No byte of UTF-8, so it marks the places before a text and its end.
 EDGE = b"\xff"
@@ -124,7 +130,10 @@ def _chances(split: np.ndarray, parent: np.ndarray, children: Children, deepest:
 
 @dataclass
 class ContextTree:
-    """Contexts per depth (sorted, as numbers), their rows, and the code lengths."""
+    """A tree in memory: contexts per depth (sorted, as numbers), their rows, and the code lengths.
+
+    The plain form of what ``gram_costs`` does for all contexts, for trees of few contexts.
+    """
 
     contexts: list[np.ndarray]
     first: list[int]
@@ -175,8 +184,8 @@ def _counted(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return distinct, np.bincount(place, n).astype(np.int64)
 
 
-def corpus_counts(docs: DataFrame) -> DataFrame:
-    """Counts ``n`` over all texts: of every ``word``, and of every ``gram`` of ``DEPTH`` + 1 bytes."""
+def corpus_counts(docs: DataFrame, learning) -> DataFrame:
+    """Counts ``n`` over the ``learning`` texts: of every ``word``, and of every ``gram`` of ``DEPTH`` + 1 bytes in any text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter[bytes] = Counter()
@@ -188,28 +197,29 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64())], names=["word", "gram", "n"])
 
         for batch in slices(batches):
-            bodies = []
-            for text in batch.column(0).to_pylist():
+            bodies: dict[bool, list[bytes]] = {True: [], False: []}
+            for text, learned in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own = words_of(text)
-                bodies.append(b" ".join(own) + EDGE)
-                words.update(own)
+                bodies[learned].append(b" ".join(own) + EDGE)
+                if learned:
+                    words.update(own)
                 if len(words) > HELD_WORDS:
                     yield out(list(words), list(words.values()), True)
                     words.clear()
-            for _, buffer, begins, ends in chunks(bodies, EDGE * DEPTH, 1 << 20):
-                inside = np.zeros(len(buffer) + 1, np.int8)
-                np.add.at(inside, begins, 1)
-                np.add.at(inside, ends, -1)
-                codes = grams(buffer, DEPTH)
-                new = np.unique(codes[np.cumsum(inside)[: len(codes)] > 0], return_counts=True)
-                held = _counted(*(np.concatenate(pair) for pair in zip(held, new, strict=True)))
-                if len(held[0]) > HELD_GRAMS:
-                    yield out(*held, False)
-                    held = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            for learned, own in bodies.items():
+                for _, buffer, begins, ends in chunks(own, EDGE * DEPTH, 1 << 20):
+                    codes = grams(buffer, DEPTH)
+                    codes, times = np.unique(codes[inside(begins, ends, len(codes))], return_counts=True)
+                    new = (codes, times * learned)
+                    held = _counted(*(np.concatenate(pair) for pair in zip(held, new, strict=True)))
+                    if len(held[0]) > HELD_GRAMS:
+                        yield out(*held, False)
+                        held = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         yield out(list(words), list(words.values()), True)
         yield out(*held, False)
 
-    parts = docs.select(F.col("text").cast("binary")).mapInArrow(run, "word binary, gram bigint, n bigint")
+    texts = docs.select(F.col("text").cast("binary"), F.coalesce(learning, F.lit(False)))
+    parts = texts.mapInArrow(run, "word binary, gram bigint, n bigint")
     return parts.groupBy("word", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -226,27 +236,135 @@ def least_count(counts: DataFrame, column: str, most: int) -> int:
     return least
 
 
-def context_tree(gram_counts: DataFrame, nodes: int = NODES) -> ContextTree:
-    """The tree of the ``nodes`` most frequent contexts, from counts of all grams."""
-    levels = F.array(
-        *[
-            F.struct(F.lit(d).alias("depth"), F.shiftright("gram", 8).bitwiseAND((1 << 8 * d) - 1).alias("context"))
-            for d in range(DEPTH + 1)
+class Level:
+    """The decisions on one bit behind all contexts of one length.
+
+    A decision's key is its context and the byte's bits before, as one number. ``up`` is its place behind the next
+    shorter contexts, ``node`` the place of every code of this length and ``one`` the bit it goes on with.
+    """
+
+    def __init__(self, codes: np.ndarray, n: np.ndarray, bit: int):
+        keys = codes >> np.uint64(8 - bit)
+        new = np.diff(keys, prepend=keys[:1] ^ np.uint64(1)) != 0
+        starts = np.flatnonzero(new)
+        self.key, self.node = keys[starts], np.cumsum(new) - 1
+        self.one = (codes >> np.uint64(7 - bit)) & np.uint64(1) > 0
+        self.ones = np.add.reduceat(n * self.one, starts)
+        self.zeros = np.add.reduceat(n, starts) - self.ones
+
+    def weigh(self, longer: np.ndarray | None) -> np.ndarray:
+        """Logarithm of the weighted probability, given that of all longer contexts together (None: there are none)."""
+        self.own = log_kt(self.zeros, self.ones)
+        self.weighted = self.own if longer is None else np.log(0.5) + np.logaddexp(self.own, longer)
+        return self.weighted
+
+    def own_one(self) -> np.ndarray:
+        return (self.ones + 0.5) / (self.zeros + self.ones + 1)
+
+    def passed(self, so_far: np.ndarray, mass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What longer contexts start from: the chance of a one up to here, and the weight that is left."""
+        stop = np.exp(np.log(0.5) + self.own - self.weighted)
+        return so_far + mass * stop * self.own_one(), mass * (1 - stop)
+
+
+def _shorter(keys: np.ndarray, depth: int, bit: int) -> np.ndarray:
+    """The keys of decisions behind contexts cut to their last ``depth`` bytes."""
+    return keys & np.uint64((1 << 8 * depth + bit) - 1)
+
+
+def _weighed(grams: np.ndarray, n: np.ndarray):
+    """For every bit: the levels from ``SPLIT`` to ``DEPTH``, weighted from the longest contexts on, and links to shorter ones."""
+    codes = [_counted(grams & np.uint64((1 << 8 * (d + 1)) - 1), n) for d in range(SPLIT, DEPTH + 1)]
+    for bit in range(8):
+        levels = [Level(own, times.astype(np.float64), bit) for own, times in codes]
+        ups = [
+            np.searchsorted(levels[k].key, _shorter(levels[k + 1].key, SPLIT + k, bit)) for k in range(len(levels) - 1)
         ]
-    )
-    level_counts = stage(
-        gram_counts.select(F.explode(levels).alias("x"), F.col("gram").bitwiseAND(255).alias("byte"), "n")
-        .groupBy("x.depth", "x.context", "byte")
-        .agg(F.sum("n").alias("n")),
-        "ctw-levels",
-    )
-    totals = stage(level_counts.groupBy("depth", "context").agg(F.sum("n").alias("total")), "ctw-contexts")
-    kept = totals.where(F.col("total") >= least_count(totals, "total", nodes)).drop("total")
-    # At most `nodes` contexts, each with at most 256 bytes.
-    rows = level_counts.join(F.broadcast(kept), ["depth", "context"]).toPandas()
-    return ContextTree.weighted(
-        rows["depth"].to_numpy(), rows["context"].to_numpy(), rows["byte"].to_numpy(), rows["n"].to_numpy()
-    )
+        longer = None
+        for k in range(len(levels) - 1, -1, -1):
+            weighted = levels[k].weigh(longer)
+            if k:
+                longer = np.bincount(ups[k - 1], weighted, len(levels[k - 1].key))
+        yield bit, levels, ups
+
+
+def _whole_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Sorted grams and counts, with all grams of a context of ``SPLIT`` bytes together, about ``WEIGHED`` at once."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+    for batch in batches:
+        held.append((batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()))
+        size += batch.num_rows
+        if size >= WEIGHED:
+            grams, n = (np.concatenate(side) for side in zip(*held, strict=True))
+            context = (grams >> np.uint64(8)) & np.uint64((1 << 8 * SPLIT) - 1)
+            # Rows come context by context; the last one may go on.
+            last = int(np.flatnonzero(context != context[-1])[-1]) + 1 if context[0] != context[-1] else 0
+            if last:
+                yield _counted(grams[:last], n[:last])
+            held, size = [(grams[last:], n[last:])], len(grams) - last
+    if size:
+        yield _counted(*(np.concatenate(side) for side in zip(*held, strict=True)))
+
+
+def _above(rows) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For every bit: keys behind the contexts of ``SPLIT`` - 1 bytes, and what they pass on to longer ones."""
+    found = []
+    for bit in range(8):
+        part = rows[rows["bit"] == bit]
+        order = np.argsort(part["key"].to_numpy())
+        keys = part["key"].to_numpy()[order].astype(np.uint64)
+        sums = [part[c].to_numpy()[order] for c in ("zeros", "ones", "longer")]
+        levels, ups = [], []
+        for depth in range(SPLIT - 1, -1, -1):
+            level = Level.__new__(Level)
+            level.key, (level.zeros, level.ones, longer) = keys, sums
+            weighted = level.weigh(longer)
+            levels.append(level)
+            if depth:
+                keys, up = np.unique(_shorter(keys, depth - 1, bit), return_inverse=True)
+                ups.append(up)
+                sums = [np.bincount(up, v, len(keys)) for v in (level.zeros, level.ones, weighted)]
+        passed = levels[-1].passed(np.zeros(len(keys)), np.ones(len(keys)))
+        for level, up in zip(levels[-2::-1], ups[::-1], strict=True):
+            passed = level.passed(passed[0][up], passed[1][up])
+        found.append((levels[0].key, *passed))
+    return found
+
+
+def gram_costs(gram_counts: DataFrame) -> DataFrame:
+    """``gram``, ``n`` and the ``bits`` of its last byte behind all contexts of the bytes before, from counts of all grams."""
+
+    def up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for grams, n in _whole_contexts(batches):
+            for bit, levels, _ in _weighed(grams, n):
+                top = levels[0]
+                keys, at = np.unique(_shorter(top.key, SPLIT - 1, bit), return_inverse=True)
+                sums = [pa.array(np.bincount(at, v, len(keys))) for v in (top.zeros, top.ones, top.weighted)]
+                bits = pa.array(np.full(len(keys), bit, np.int32))
+                yield pa.RecordBatch.from_arrays([bits, pa.array(keys.view(np.int64)), *sums], names=["bit", "key", "zeros", "ones", "longer"])
+
+    def down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for grams, n in _whole_contexts(batches):
+            bits = np.zeros(len(grams))
+            for bit, levels, ups in _weighed(grams, n):
+                keys, so_far, mass = above.value[bit]
+                at = np.searchsorted(keys, _shorter(levels[0].key, SPLIT - 1, bit))
+                so_far, mass = so_far[at], mass[at]
+                for level, place in zip(levels, ups, strict=False):
+                    so_far, mass = (v[place] for v in level.passed(so_far, mass))
+                last = levels[-1]
+                one = (so_far + mass * last.own_one())[last.node]
+                bits -= np.log2(np.where(last.one, one, 1 - one))
+            yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n), pa.array(bits)], names=["gram", "n", "bits"])
+
+    context = F.shiftright("gram", 8).bitwiseAND((1 << 8 * SPLIT) - 1)
+    dealt = gram_counts.select("gram", "n").repartition(context).sortWithinPartitions(context)
+    sums = dealt.mapInArrow(up, "bit int, key bigint, zeros double, ones double, longer double").groupBy("bit", "key")
+    # At most 256 contexts of one byte with 255 decisions each, whatever the input.
+    rows = sums.agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "longer")]).toArrow().to_pandas()
+    above = gram_counts.sparkSession.sparkContext.broadcast(_above(rows))
+    return dealt.mapInArrow(down, "gram bigint, n bigint, bits double")
 
 
 def scores(docs: DataFrame, learning, nodes: int = NODES, frequent: int = FREQUENT) -> DataFrame:
@@ -257,23 +375,36 @@ def scores(docs: DataFrame, learning, nodes: int = NODES, frequent: int = FREQUE
     count zero. Repeated rows are counted and returned each.
     """
     spark = docs.sparkSession
-    chosen = docs.where(learning).select("text")
-    counts = stage(corpus_counts(chosen), "ctw-counts")
+    counts = stage(corpus_counts(docs, learning), "ctw-counts")
     words = counts.where("word IS NOT NULL").select("word", "n")
-    tree = context_tree(counts.where("gram IS NOT NULL").select("gram", "n"), nodes)
-    ends = chosen.count()
+    costs = stage(gram_costs(counts.where("gram IS NOT NULL")), "ctw-costs")
+    learned = costs.where("n > 0")
+    often = F.col("n") >= least_count(learned, "n", nodes)
+    # At most `nodes` rows.
+    near = learned.where(often).select("gram", F.col("bits").cast("float")).toArrow()
+    known, bits = (near[c].to_numpy() for c in ("gram", "bits"))
+    order = np.argsort(known)
+    near = (known[order].view(np.uint64), bits[order])
+    ends = docs.where(learning).count()
     tokens, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     tokens, distinct = tokens + ends, distinct + (ends > 0)
     least = least_count(words, "n", frequent)
     # At most `frequent` rows.
-    table = dict(words.where(F.col("n") >= least).select("word", F.log10(F.col("n") + 1)).toPandas().itertuples(index=False))
-    shared = spark.sparkContext.broadcast((tree, {bytes(w): v for w, v in table.items()}))
+    table = words.where(F.col("n") >= least).select("word", F.log10(F.col("n") + 1)).toArrow()
+    shared = spark.sparkContext.broadcast((near, dict(zip(*(c.to_pylist() for c in table.columns), strict=True))))
     ready: list[GramCosts] = []
 
     def run(texts: list[bytes | None]) -> dict[str, object]:
-        tree, logs = shared.value
+        (known, bits), logs = shared.value
+
+        def near_costs(codes: np.ndarray) -> np.ndarray:
+            if not len(known):
+                return np.full((len(codes), 1), np.nan, np.float32)
+            place = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+            return np.where(known[place] == codes, bits[place], np.float32(np.nan))[:, None]
+
         if not ready:
-            ready.append(GramCosts(tree.costs, DEPTH, 1))
+            ready.append(GramCosts(near_costs, DEPTH, 1))
         get = logs.__getitem__
         out: dict[str, list] = {k: [] for k in ("n_tokens", "known_sum", "n_frequent", "rare", "times")}
         for text in texts:
@@ -285,10 +416,15 @@ def scores(docs: DataFrame, learning, nodes: int = NODES, frequent: int = FREQUE
             out["rare"].append(list(rare))
             out["times"].append(list(rare.values()))
         bodies = list(map(body_of, texts))
-        return {**out, "bits": ready[0].sums(bodies, EDGE * DEPTH)[:, 0], "n_bytes": list(map(len, bodies))}
+        total, far = ready[0].sums_and_rest(bodies, EDGE * DEPTH)
+        far = [np.unique(own, return_counts=True) for own in far]
+        out["far"] = [codes.view(np.int64) for codes, _ in far]
+        out["far_times"] = [times.astype(np.int32) for _, times in far]
+        return {**out, "bits": total[:, 0], "n_bytes": list(map(len, bodies))}
 
     results = {"n_tokens": "bigint", "known_sum": "double", "n_frequent": "bigint", "rare": "array<binary>"}
     results |= {"times": "array<int>", "bits": "double", "n_bytes": "bigint"}
+    results |= {"far": "array<bigint>", "far_times": "array<int>"}
     found = stage(
         map_texts(docs, ["doc_id"], run, results).withColumn("row", F.monotonically_increasing_id()), "ctw-texts"
     )
@@ -298,14 +434,21 @@ def scores(docs: DataFrame, learning, nodes: int = NODES, frequent: int = FREQUE
         .groupBy("row")
         .agg(F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("rare_sum"), F.sum("times").alias("n_rare"))
     )
+    far = found.select("row", F.explode(F.arrays_zip("far", "far_times")).alias("x")).select("row", "x.far", "x.far_times")
+    rest = (
+        far.join(costs.where(~often), far["far"] == costs["gram"])
+        .groupBy("row")
+        .agg(F.sum(F.col("far_times") * F.col("bits")).alias("rest_bits"))
+    )
     whole = float(np.log10(tokens + distinct + 1))
+    bits = F.col("bits") + F.coalesce("rest_bits", F.lit(0.0))
     logs = F.col("known_sum") + F.coalesce("rare_sum", F.lit(0.0)) + F.lit(float(np.log10(ends + 1)))
-    return found.join(met, "row", "left").select(
+    return found.join(met, "row", "left").join(rest, "row", "left").select(
         "doc.doc_id",
         "n_tokens",
         (F.col("n_frequent") + F.coalesce("n_rare", F.lit(0)) + F.lit(int(ends > 0))).alias("n_known"),
         F.lit(tokens).cast("bigint").alias("train_tokens"),
         (logs - F.col("n_tokens") * F.lit(whole)).alias("base_score"),
-        (F.col("bits") * F.lit(-float(np.log10(2)))).alias("score"),
-        (F.col("bits") / F.col("n_bytes")).alias("bits_per_byte"),
+        (bits * F.lit(-float(np.log10(2)))).alias("score"),
+        (bits / F.col("n_bytes")).alias("bits_per_byte"),
     )

@@ -7,6 +7,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import docs
 from pyspark.sql import functions as F
@@ -144,6 +145,35 @@ def test_weighting_follows_the_definition(monkeypatch):
             assert got == pytest.approx(bits, abs=1e-4)
 
 
+def test_contexts_are_weighted_whole(monkeypatch):
+    monkeypatch.setattr(C, "WEIGHED", 20)
+    rng = np.random.default_rng(1)
+    context = np.sort(rng.integers(0, 12, 300))
+    codes = (rng.permutation(300) << 24 | context << 8).astype(np.int64)
+    batches = [pa.RecordBatch.from_arrays([codes[k : k + 7], codes[k : k + 7] % 5], names=["gram", "n"]) for k in range(0, 300, 7)]
+    parts = list(C._whole_contexts(iter(batches)))
+    contexts = [set((grams >> np.uint64(8) & np.uint64(65535)).tolist()) for grams, _ in parts]
+    assert len(parts) > 5 and sum(map(len, contexts)) == len(set.union(*contexts)) == len(set(context.tolist()))
+    assert sorted(zip(*(np.concatenate(v).tolist() for v in zip(*parts)))) == sorted(zip(codes.tolist(), (codes % 5).tolist()))
+
+
+@pytest.mark.parametrize("nodes", [1, 1 << 20])
+def test_every_context_takes_part(spark, nodes):
+    """Costs behind all contexts, as of one tree in memory, however few are broadcast."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("aab c", k=60)) for _ in range(30)] + ["", "zz unseen \u20ac", "\u20ac aab" * 9]
+    learned = [i for i in range(len(texts)) if i % 7 != 2 and i != 31]
+    data = [(w[i : i + 5], w[i + 5]) for k in learned for w in [C.EDGE * 5 + C.body_of(texts[k].encode())] for i in range(len(w) - 5)]
+    counts = Counter((d, c[5 - d :], s) for c, s in data for d in range(6))
+    rows = [(d, int.from_bytes(c), s, n) for (d, c, s), n in counts.items()]
+    tree = C.ContextTree.weighted(*map(np.array, zip(*rows, strict=True)))
+    found = C.scores(docs(spark, texts), F.col("doc_id").isin(learned), nodes=nodes).collect()
+    for r in found:
+        body = C.EDGE * 5 + C.body_of(texts[r.doc_id].encode())
+        codes = np.array([int.from_bytes(body[i : i + 6]) for i in range(len(body) - 5)], np.uint64)
+        assert r.score == pytest.approx(-tree.costs(codes).sum() * math.log10(2), rel=1e-5)
+
+
 @pytest.mark.parametrize("frequent", [2, 10**6])
 def test_base_scores(spark, frequent):
     texts = ["the cat sat", "The dog sat sat", "unseen words", None, "a b c the"]
