@@ -17,6 +17,8 @@ from .profiling import long_values
 
 # The built-in 1e-6 ends a fit whose expected bad loans are still off by a share of the rows, so by whole loans in large tables.
 TOLERANCE = 1e-12
+# Rows of a task that fits trees. Encoded rows are far larger than those stored, so files are no measure of them.
+TREE_ROWS = 100_000
 
 
 def index_categories(columns: list[str]) -> StringIndexer:
@@ -69,7 +71,9 @@ def train_tree_models(
         "random_forest": RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, seed=seed),
         "gradient_boosting": GBTClassifier(labelCol=label, maxIter=trees, maxDepth=depth, seed=seed),
     }
-    encoded = encoder.transform(train).select(label, "features").persist()
+    context = train.sparkSession.sparkContext
+    tasks = max(context.defaultParallelism, -(-train.count() // TREE_ROWS))
+    encoded = encoder.transform(train.select(label, *features).repartition(tasks)).select(label, "features").persist()
     unseen = encoder.transform(test).select(label, "features")
     evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
     models, rows = {}, []

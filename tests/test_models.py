@@ -54,6 +54,20 @@ def test_fit_meets_its_likelihood_equations(model, loans):
         assert sums.agg(F.max(F.col("off") / F.col("n"))).first()[0] < 1e-7
 
 
+def test_trees_are_fitted_on_parts_of_bounded_size(spark, loans, monkeypatch):
+    monkeypatch.setattr(M, "TREE_ROWS", 20)
+    sizes = []
+    fit = M.RandomForestClassifier.fit
+
+    def noted(self, rows):
+        sizes.extend(rows.groupBy(F.spark_partition_id()).count().toPandas()["count"])
+        return fit(self, rows)
+
+    monkeypatch.setattr(M.RandomForestClassifier, "fit", noted)
+    M.train_tree_models(loans.coalesce(1), loans, FEATURES, trees=1, depth=1)
+    assert sum(sizes) == loans.count() and max(sizes) <= 25
+
+
 def test_scorecard_scores_like_the_model(model, loans):
     card = M.scorecard_from_model(model, loans)
     both = M.scorecard_score(model.transform(loans).withColumn("expected", prob_positive()).drop("prediction"), card)
