@@ -73,3 +73,17 @@ def test_no_name_of_the_table_is_left_in_a_conversion_record(spark):
     records = QUERIES["op1_warc_derivatives"](spark, "/root/testdata/sf0.01").where("record_type = 'conversion'")
     left = {name for r in records.select("block").collect() for name in re.findall(r"&([A-Za-z][A-Za-z0-9]*;)", r.block)}
     assert not left & set(html5)
+
+
+def test_white_space_and_hidden_parts_as_by_the_plain_patterns(spark):
+    rng = random.Random(11)
+    parts = [" ", "  ", "\n", "\t", "\r\n", "\f", "\x0b", " ", "a", "b<", "<!--", "-->", "<SCRIPT>", "</script >", "<style ", "</style>", "<scripts"]
+    texts = ["", " ", "\n \n", *("".join(rng.choices(parts, k=rng.randrange(14))) for _ in range(500))]
+
+    def joined(text):
+        text = re.sub(r"[ \t\r\f\x0B]+", " ", re.sub(A.HIDDEN.replace(r"\z", r"\Z"), " ", text))
+        return re.sub(r"^[ \n]+|[ \n]+\Z", "", re.sub(r" ?\n[ \n]*", "\n", text))
+
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    got = rows.select("id", A._joined(F.regexp_replace("t", A.HIDDEN_AT_ONCE, " ")).alias("t")).collect()
+    assert {r.id: r.t for r in got} == {k: joined(t) for k, t in enumerate(texts)}
