@@ -9,17 +9,22 @@ from __future__ import annotations
 
 import json
 import os
-import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 NONE = np.int32(2**31 - 1)
 LONGEST = 48
 ROWS_AT_ONCE = 1 << 15
 KEPT_WORDS = 800_000
 # Letters up to U+00FF and ASCII marks without the apostrophe: no contraction, no composition, plain lower-casing.
-PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-/:-@\[-`{-~]+")
-PIECES = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+# Beyond ASCII these are the letters whose first byte is 0xC3, but for two signs.
+OTHER = np.array([not 33 <= b < 127 or b == 39 for b in range(128)] + [b >= 0xC0 and b != 0xC3 for b in range(128, 256)])
+SIGNS = (0x97, 0xB7)
+# Pieces of lower-cased words: letters, one digit, or marks.
+LETTER, DIGIT, MARK = range(3)
+KINDS = np.array([LETTER if b >= 128 or 97 <= b < 123 else DIGIT if 48 <= b < 58 else MARK for b in range(256)], np.int8)
 
 
 def byte_letters() -> list[str]:
@@ -31,6 +36,16 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+def _listed(values: pa.Array) -> list[bytes]:
+    return values.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+
+
+def _joined(values: pa.Array) -> tuple[bytes, np.ndarray]:
+    """All values one after another, and where each begins, then the end."""
+    _, begins, flat = values.buffers()
+    return b"" if flat is None else flat.to_pybytes(), np.frombuffer(begins, np.int32, len(values) + 1, 4 * values.offset)
+
+
 class WordIds:
     """``ids(texts)``: the ids of each text as little-endian unsigned 32-bit numbers."""
 
@@ -51,35 +66,70 @@ class WordIds:
         self.merged = np.array([vocab[a + b] for a, b in pairs], np.int64)
         order = np.argsort(keys, kind="stable")
         self.pair_keys, self.pair_ranks = keys[order], order.astype(np.int32)
-        self.words: dict[bytes, bytes] = {}
+        # Ranks of two bytes, the second one inside (first half) or at the end of a piece.
+        self.byte_ranks = self.ranks(self.inner[:, None], np.concatenate([self.inner, self.final])[None, :])
+        self.words: dict[bytes, bytes] = {b"": b""}
+        self.pieces: dict[bytes, bytes] = {}
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         if len(self.words) > KEPT_WORDS:
-            self.words = {}
+            self.words, self.pieces = {b"": b""}, {}
         # Only the library knows special tokens, and it finds them before lower-casing.
-        split = [None if b"<|" in t else t.lower().split() for t in texts]
-        self._learn({w for words in split if words for w in words if w not in self.words})
-        known = self.words.__getitem__
+        special = [b"<|" in t for t in texts]
+        lower = pa.array([b"" if own else t.lower() for t, own in zip(texts, special, strict=True)], pa.binary())
+        split = pc.ascii_split_whitespace(lower.cast(pa.string()))
+        coded = split.flatten().dictionary_encode()
+        words = _listed(coded.dictionary)
+        own = list(map(self.words.get, words))
+        new = [k for k, ids in enumerate(own) if ids is None]
+        for k, ids in zip(new, self._learned([words[k] for k in new]), strict=True):
+            own[k] = ids
+        found = pa.array(own, pa.binary()).take(coded.indices)
+        flat, begins = _joined(found)
+        begins = begins[split.offsets.to_numpy()].tolist()
         return [
-            self._by_library(text.decode()) if words is None else b"".join(map(known, words))
-            for text, words in zip(texts, split, strict=True)
+            self._by_library(text.decode()) if own else flat[a:b]
+            for text, own, a, b in zip(texts, special, begins, begins[1:], strict=False)
         ]
 
     def _by_library(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, words: set[bytes]) -> None:
-        plain: dict[bytes, list[str]] = {}
-        for word in words:
-            text = word.decode()
-            if PLAIN.fullmatch(text) and len(word) <= LONGEST:
-                plain[word] = PIECES.findall(text.lower())
-            else:
-                self.words[word] = self._by_library(text)
-        new = list({p for pieces in plain.values() for p in pieces})
-        merged = dict(zip(new, self.merge_all([p.encode() for p in new]), strict=True))
-        for word, pieces in plain.items():
-            self.words[word] = b"".join([merged[p] for p in pieces])
+    def _learned(self, words: list[bytes]) -> list[bytes]:
+        """The ids of new words, which are kept."""
+        if not words:
+            return []
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        other = OTHER[raw]
+        other[1:] |= np.isin(raw[1:], SIGNS) & (raw[:-1] == 0xC3)
+        plain = (np.add.reduceat(other, np.cumsum(lengths) - lengths, dtype=np.int64) == 0) & (lengths <= LONGEST)
+        ids = [b""] * len(words)
+        for k in np.flatnonzero(~plain).tolist():
+            ids[k] = self._by_library(words[k].decode())
+        rows = np.flatnonzero(plain)
+        if len(rows):
+            for k, own in zip(rows.tolist(), self._cut([words[k] for k in rows.tolist()], lengths[rows]), strict=True):
+                ids[k] = own
+        self.words.update(zip(words, ids, strict=True))
+        return ids
+
+    def _cut(self, words: list[bytes], lengths: np.ndarray) -> list[bytes]:
+        """The ids of plain words by those of their pieces."""
+        lower = b"".join(words).decode().lower().encode()
+        kinds = KINDS[np.frombuffer(lower, np.uint8)]
+        begins = np.cumsum(lengths) - lengths
+        new = (kinds == DIGIT) | (np.diff(kinds, prepend=-1) != 0)
+        new[begins] = True
+        edges = np.append(np.flatnonzero(new), len(lower)).astype(np.int32)
+        coded = pa.BinaryArray.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges), pa.py_buffer(lower)]).dictionary_encode()
+        pieces = _listed(coded.dictionary)
+        unseen = [p for p in pieces if p not in self.pieces]
+        self.pieces.update(zip(unseen, self.merge_all(unseen), strict=True))
+        found = pa.array(list(map(self.pieces.__getitem__, pieces)), pa.binary()).take(coded.indices)
+        flat, places = _joined(found)
+        places = places[np.searchsorted(edges, np.append(begins, len(lower)))].tolist()
+        return [flat[a:b] for a, b in zip(places, places[1:], strict=False)]
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left * self.size + right
@@ -101,10 +151,18 @@ class WordIds:
         steps = np.arange(width)
         # One column more, always empty, so that moving left brings an empty place in.
         ids = np.full((len(pieces), width + 1), -1, np.int64)
-        ids[:, :-1][steps < lengths[:, None]] = self.inner[np.frombuffer(b"".join(pieces), np.uint8)]
-        last = np.fromiter((p[-1] for p in pieces), np.int64, len(pieces))
-        ids[np.arange(len(pieces)), lengths - 1] = self.final[last]
-        rank = self.ranks(ids[:, :-1], ids[:, 1:])
+        inside = steps < lengths[:, None]
+        raw = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int64)
+        ends = np.cumsum(lengths) - 1
+        own = self.inner[raw]
+        own[ends] = self.final[raw[ends]]
+        ids[:, :-1][inside] = own
+        behind = np.append(raw[1:], 0)
+        behind[ends - 1] += 256
+        pair = self.byte_ranks[raw, behind]
+        pair[ends] = NONE
+        rank = np.full((len(pieces), width), NONE)
+        rank[inside] = pair
         live = np.arange(len(pieces))
         done = np.full((len(pieces), width), -1, np.int64)
         while len(live):

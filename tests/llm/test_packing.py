@@ -136,3 +136,14 @@ def test_sequences_round_trip(spark):
         ids = OURS.library.encode(text or "", add_special_tokens=False).ids + [0]
         assert np.frombuffer(got[i], "<u4").tolist() == ids
     assert max(map(len, whole.values())) <= 64 * 4
+
+
+def test_a_piece_is_merged_once_and_odd_words_are_the_librarys(monkeypatch):
+    words, merged = WordIds(tokenizer_path()), []
+    merge_all = WordIds.merge_all
+    monkeypatch.setattr(WordIds, "merge_all", lambda own, pieces: merged.extend(pieces) or merge_all(own, pieces))
+    odd = ["", " \n", "river, a×b ÷ ÿ ß", "\x1c a\x1d\x00", "don't", "x" * 49, "ÀÉ÷ÖØ 1,000", "İ 中", "<|endoftext|> River"]
+    for texts in (["river stone"], ["river. (stone) river!"], odd, [""], []):
+        expected = [np.array(words.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert words.ids([t.encode() for t in texts]) == expected
+    assert len(merged) == len(set(merged)) and {b"river", b"stone"} <= set(merged)
