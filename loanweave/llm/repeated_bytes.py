@@ -39,6 +39,8 @@ STARTS = LENGTH - ANCHOR + 1
 #: Different segments of a key up to which they are sorted together, and bytes that a task sorts at once.
 CLASSES = 16_384
 COLLECTION = 1 << 18
+#: Places below which one of them and a symbol (nine bits) are a number of 32 bits.
+NARROW = 1 << 23
 #: Bytes whose anchors are looked for at once.
 CHUNK = 1 << 16
 
@@ -117,8 +119,8 @@ def segments(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
 def repeated_starts(strings: list[bytes], least: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
     """String and place of each suffix that shares ``least`` bytes or more with another one of the collection.
 
-    ``bwt`` is the transform ordered by symbol: symbol (upper half) and place in the order of suffixes (lower half), so the
-    rank of a symbol is its index. ``shared`` are the bytes that each suffix shares with the one before.
+    ``bwt`` is the transform ordered by symbol: symbol (upper bits) and place in the order of suffixes (lower bits), so the
+    rank of a symbol is its index. ``shared`` are the bytes that each suffix shares with the one before, ``least`` at most.
     """
     m = len(strings)
     lengths = np.array([len(s) for s in strings], np.int64)
@@ -126,11 +128,14 @@ def repeated_starts(strings: list[bytes], least: int = LENGTH) -> tuple[np.ndarr
     ends = np.cumsum(lengths)
     # Two halves to write to in turn, and room for the shifts of a round.
     size = m + len(raw) + 1
-    halves, shared_halves = [np.empty(size, np.int64) for _ in range(2)], [np.zeros(size, np.uint16) for _ in range(2)]
-    shift, place_of, old = np.empty(size, np.int64), np.empty(size, np.int64), np.empty(size, bool)
+    kind, bits = (np.uint32, 23) if size < NARROW else (np.int64, 32)
+    low = kind((1 << bits) - 1)
+    halves = [np.empty(size, kind) for _ in range(2)]
+    shared_halves = [np.zeros(size, np.uint8 if least < 256 else np.uint16) for _ in range(2)]
+    place_of, shift, old = np.empty(size, np.int64), np.empty(size, kind), np.empty(size, bool)
     # Round 0: the empty suffixes in the order of their strings, as all ends differ. Symbol 0 stands for the end.
     string = np.arange(m)
-    keys = _symbols(raw, ends, lengths, string, 0) << HALF | np.arange(m)
+    keys = _symbols(raw, ends, lengths, string, 0) << bits | np.arange(m)
     index = np.argsort(keys)
     bwt, shared = halves[0][:m], shared_halves[0][:m]
     bwt[:] = keys[index]
@@ -140,21 +145,18 @@ def repeated_starts(strings: list[bytes], least: int = LENGTH) -> tuple[np.ndarr
         going = lengths[string] >= step
         string, rank = string[going], rank[going]
         n, live = len(bwt), len(string)
-        now = bwt[rank] & PLACE
+        now = (bwt[rank] & low).astype(np.int64)
         # Before a suffix come all empty ones and those of smaller symbols or of the same one further up; ends are no symbols.
         new = m + rank - (m - live)
         order = np.argsort(new)
         string, rank, now, new = string[order], rank[order], now[order], new[order]
-        with_before, with_behind = _shared_with_neighbours(bwt, shared_halves[(step + 1) % 2], rank, now)
+        with_before, with_behind = _shared_with_neighbours(bwt, bits, shared_halves[(step + 1) % 2], rank, now, least)
         # Places move on by the new suffixes before them.
-        moved = shift[: n + 1]
-        moved[:] = 0
-        np.add.at(moved, new - np.arange(live), 1)
-        np.cumsum(moved, out=moved)
-        np.bitwise_and(bwt, PLACE, out=place_of[:n])
-        np.take(moved, place_of[:n], out=place_of[:n], mode="clip")
-        bwt += place_of[:n]
-        keys = _symbols(raw, ends, lengths, string, step) << HALF | new
+        moved = np.repeat(np.arange(live + 1, dtype=kind), np.diff(new - np.arange(live), prepend=0, append=n + 1))
+        np.bitwise_and(bwt, low, out=place_of[:n])
+        np.take(moved, place_of[:n], out=shift[:n], mode="clip")
+        bwt += shift[:n]
+        keys = (_symbols(raw, ends, lengths, string, step) << bits | new).astype(kind)
         order = np.argsort(keys)
         rank = np.empty(live, np.int64)
         rank[order] = np.searchsorted(bwt, keys[order]) + np.arange(live)
@@ -164,11 +166,7 @@ def repeated_starts(strings: list[bytes], least: int = LENGTH) -> tuple[np.ndarr
         known = with_behind > 0
         grown_shared[new[known] + 1] = with_behind[known]
         bwt, shared = grown, grown_shared
-    return _walked(bwt, shared, lengths, least)
-
-
-HALF = np.int64(32)
-PLACE = np.int64((1 << 32) - 1)
+    return _walked(bwt & low, shared, lengths, least)
 
 
 def _symbols(raw, ends, lengths, string, step: int) -> np.ndarray:
@@ -184,34 +182,36 @@ def _inserted(grown: np.ndarray, before: np.ndarray, places: np.ndarray, values:
     grown[places] = values
 
 
-def _shared_with_neighbours(bwt, shared, rank, now) -> tuple[np.ndarray, np.ndarray]:
+def _shared_with_neighbours(bwt, bits, shared, rank, now, least) -> tuple[np.ndarray, np.ndarray]:
     """Bytes that a new suffix shares with the one before and the one behind it, 0 where that has another first symbol.
 
     These are one more than the suffixes without the first symbol share: the least of all between the two. ``now`` rises;
     from the last to the first, so that no sum is taken from one pair to the next one.
     """
     out = []
+    own = bwt[rank] >> bits
     for side in (-1, 1):
-        near = bwt[np.clip(rank + side, 0, len(bwt) - 1)]
-        same = np.flatnonzero((near >> HALF == bwt[rank] >> HALF) & (near & PLACE != now))[::-1]
-        found = np.zeros(len(rank), np.uint16)
+        near = bwt[np.clip(rank + side, 0, len(bwt) - 1)].astype(np.int64)
+        place = near & ((1 << bits) - 1)
+        same = np.flatnonzero((near >> bits == own) & (place != now))[::-1]
+        found = np.zeros(len(rank), shared.dtype)
         if len(same):
             edges = np.empty(2 * len(same), np.int64)
-            pair = (near[same] & PLACE, now[same])
+            pair = (place[same], now[same])
             edges[0::2], edges[1::2] = np.minimum(*pair) + 1, np.maximum(*pair) + 1
-            found[same] = np.minimum.reduceat(shared[: len(bwt) + 1], edges)[::2] + 1
+            found[same] = np.minimum(np.minimum.reduceat(shared[: len(bwt) + 1], edges)[::2], least - 1) + 1
         out.append(found)
     return out[0], out[1]
 
 
-def _walked(bwt, shared, lengths, least: int) -> tuple[np.ndarray, np.ndarray]:
+def _walked(places, shared, lengths, least: int) -> tuple[np.ndarray, np.ndarray]:
     """From the empty suffixes to the longest ones along the transform, those that repeat."""
     m = len(lengths)
     repeats = shared >= least
     repeats[:-1] |= repeats[1:].copy()
     # Where the suffix with one more symbol is; there are as many ends as empty suffixes.
-    longer = np.empty(len(bwt), np.int64)
-    longer[bwt & PLACE] = np.arange(len(bwt))
+    longer = np.empty(len(places), np.int64)
+    longer[places] = np.arange(len(places))
     string, place = np.arange(m), np.arange(m)
     owners, starts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for step in range(1, int(lengths.max(initial=0)) + 1):

@@ -29,6 +29,17 @@ def test_suffixes_against_counting(letters):
         assert len(found) == len(set(found)) and set(found) == brute_starts(strings, least)
 
 
+@pytest.mark.parametrize("least", [1, 5, 200, 255, 256, 300])
+@pytest.mark.parametrize("narrow", [0, 1 << 23])
+def test_numbers_of_either_width_find_the_same(monkeypatch, narrow, least):
+    monkeypatch.setattr(repeated_bytes, "NARROW", narrow)
+    rng = random.Random(least)
+    common = bytes(rng.randrange(256) for _ in range(least + 20))
+    strings = [bytes([n]) * rng.randrange(1, 40) + common[rng.randrange(9) :] + bytes([n, 255]) for n in range(40)] + [b"a" * 400]
+    found = set(zip(*(side.tolist() for side in repeated_bytes.repeated_starts(strings, least)), strict=True))
+    assert found == brute_starts(strings, least) and found
+
+
 def test_segments_hold_each_string_once():
     rng = random.Random(3)
     texts = [b"", b"a" * 199, b"a" * 200, b"ab" * 4000, bytes(rng.choice(b"abc ") for _ in range(150_000)), bytes(rng.randrange(256) for _ in range(3000))]
