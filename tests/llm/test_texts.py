@@ -189,6 +189,18 @@ def test_copies_are_tied_to_the_smallest_id_only(spark, parts):
     assert {passage.doc_id, passage.other_doc_id} == {1, 3} and passage.n_equal == 60
 
 
+def test_first_holders_are_staged_without_repeated_columns(spark, monkeypatch):
+    staged, stage = {}, C.stage
+    monkeypatch.setattr(C, "stage", lambda df, name: staged.setdefault(name, stage(df, name)))
+    rng = random.Random(3)
+    passage = " ".join(f"w{rng.randrange(10**6)}" for _ in range(80))
+    assert C.shared_passages(docs(spark, [f"a {passage}", f"b {passage} c"])).count() == 1
+    for name in ("seed-ties", "window-ties"):
+        rows = staged[name].where("kind = 0")
+        assert rows.count() and rows.where("other IS NOT NULL OR y IS NOT NULL OR row IS NULL OR x IS NULL").isEmpty()
+        assert staged[name].where("kind = 1 AND (other IS NULL OR y IS NULL)").isEmpty()
+
+
 def test_equal_windows_have_equal_hashes_and_seed_places():
     import numpy as np
 
