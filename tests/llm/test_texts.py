@@ -251,6 +251,72 @@ def test_longest_good_parts_of_a_chain():
     assert found == [(0, 92, 0, 92, 80), (242, 312, 242, 312, 70)]
 
 
+def expanded(rows):
+    return {(s + t * k, e + t * k, *more) for s, e, *more, t, n in rows for k in range(n)}
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_series_are_aligned_as_one_match_after_the_other(seed):
+    import numpy as np
+
+    rng = random.Random(seed)
+    fresh = lambda n: [rng.randrange(50, 10**4) for _ in range(n)]
+    seen = 0
+    for _ in range(60):
+        period = [rng.randrange(50) for _ in range(rng.choice([1, 2, 3, 7, 12]))]
+        edges = fresh(20), fresh(20)
+        around = lambda n, side: fresh(n) + edges[side] * rng.randrange(2) if side == 0 else edges[side] * rng.randrange(2) + fresh(n)
+        texts = [around(rng.choice([0, 70]), 0) + (period * 400)[: rng.choice([30, 60, 90, 200, 400])] + around(rng.choice([0, 70]), 1) for _ in range(2)]
+        a, b = (np.array(t) for t in texts)
+        key = (period * C.K)[: C.K]
+        x, y = ([k for k in range(len(t)) if t[k : k + C.K] == key] for t in texts)
+        for chain in C.series([(k, rng.choice([y[0], y[-1]])) for k in x]):
+            if len(chain) == 1:
+                continue
+            own, other = np.array([k for k, _ in chain]), chain[0][1]
+            found, alike = C.aligned_series(a, b, own, other)
+            single = [C.aligned(a, b, [(k, other)]) for k in own.tolist()]
+            assert found.tolist() == [list(whole) for whole in single]
+            parts = {tuple(p) for k, whole in zip(own.tolist(), single, strict=True) for p in C.stretches(a, b, [(k, other)], whole)}
+            # Without those inside another one; of equal ones in the own text any may stay.
+            longest = {p[:2] for p in parts if not any(q[:2] != p[:2] and q[0] <= p[0] and q[1] >= p[1] for q in parts)}
+            rows = C.repeated(a, b, own, other, found, alike)
+            assert expanded(rows) <= parts and {p[:2] for p in expanded(rows)} == longest and len(rows) <= 12
+            seen += len(rows)
+    assert seen
+
+
+def test_repeated_words_give_few_rows_for_all_their_passages(spark):
+    rng = random.Random(8)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    texts = [fresh(60) + ["spam", "eggs"] * 45 + fresh(60), fresh(150) + ["spam", "eggs"] * 450 + fresh(150)]
+    rows = C.shared_passages(docs(spark, [" ".join(t) for t in texts]).coalesce(1)).collect()
+    assert {(r.doc_id, r.other_doc_id) for r in rows} == {(1, 0)} and len(rows) <= 3
+    passages = expanded([(r.start_word, r.end_word, r.other_start_word, r.other_end_word, r.step, r.repeats) for r in rows])
+    assert {(u, u + 90, 60, 150) for u in range(150, 961, 2)} <= passages
+    assert all(texts[1][u:v] == texts[0][a:b] for u, v, a, b in passages)
+
+
+def test_windows_meet_by_their_smallest_seed(spark, monkeypatch):
+    staged, stage = {}, C.stage
+    monkeypatch.setattr(C, "stage", lambda df, name: staged.setdefault(name, stage(df, name)))
+    rng = random.Random(12)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage = fresh(200)
+    frame = docs(spark, [" ".join(fresh(80) + passage[k:] + fresh(80)) for k in range(0, 40, 4)]).repartitionByRange(5, "doc_id")
+    found = []
+    # With very many shares every seed of several rows is dealt window by window.
+    for shares in (C.SHARES, 10**9):
+        monkeypatch.setattr(C, "SHARES", shares)
+        staged.clear()
+        found.append(sorted(map(str, C.shared_passages(frame).collect())))
+        firsts = staged["window-ties"].where("kind = 0")
+        # One row per place of a seed, not one per window.
+        assert firsts.count() == firsts.select("row", "x").distinct().count()
+        assert firsts.selectExpr("sum(size(windows)) / count(*) AS n").first().n > 5
+    assert found[0] == found[1] and found[0]
+
+
 def test_stages_of_the_pipeline(spark):
     frames = [spark.read.parquet(f"{SF}/documents.parquet")]
     for name, function in corpus_pipeline.STAGES[:-1]:
